@@ -106,13 +106,32 @@ def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comments_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat comments with the submission fields the shows job reads."""
-    c = landed_comments(spark, sf_dir)
-    s = landed_submissions(spark, sf_dir).select("submission_id", "source", "title",
-                                                 "description", "author")
-    return c.join(s, "submission_id", "inner").select(
-        "show_title", "show_director", "source", "title", "description", "author",
-        "comment_id", "body", "created_utc", "score", "parent_id", "submission_id")
+    """Flat comments with the submission fields the shows job reads.
+
+    Same rows as landed_comments ⋈ landed_submissions, joined on the
+    numeric keys before any string is built.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+         .join(c, F.col("o_custkey") == c["c_custkey"], "left")
+         .join(p, li["l_partkey"] == p["p_partkey"], "inner"))
+    return j.select(
+        show_title_of_part().alias("show_title"),
+        F.col("p_brand").alias("show_director"),
+        F.concat(F.lit("src"), (F.col("o_custkey") % 3).cast("string")).alias("source"),
+        F.concat(F.lit("Thread "), _s("o_orderkey")).alias("title"),
+        F.col("o_orderpriority").alias("description"),
+        F.col("c_name").alias("author"),
+        F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"),
+                    _s("l_suppkey")).alias("comment_id"),
+        F.concat("l_returnflag", "l_linestatus", F.lit(" "), "p_name").alias("body"),
+        F.col("l_shipdate").cast("timestamp").alias("created_utc"),
+        F.floor("l_quantity").try_cast("int").alias("score"),
+        F.concat(F.lit("t3_"), _s("l_orderkey")).alias("parent_id"),
+        _s("l_orderkey").alias("submission_id"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

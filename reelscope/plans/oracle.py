@@ -155,3 +155,61 @@ FROM catalog_clean k JOIN (
   FROM comments_flat GROUP BY show_title, show_director) s
 ON k.title = s.show_title AND k.director = s.show_director
 WHERE k."cast" IS NOT NULL"""
+
+PHRASE_POSTS = r"""
+ph AS (SELECT item_id, trim(regexp_replace(lower(split_part(text, '.', 1)), '[^\p{L}\p{N}]+', ' ', 'g')) AS phrase
+       FROM benchmark),
+po AS (SELECT doc_id AS post_id, source, n_chars AS score,
+              trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS nt FROM documents),
+mentions AS (SELECT ph.item_id, po.post_id, po.source FROM ph JOIN po
+             ON ph.phrase <> '' AND contains(' ' || po.nt || ' ', ' ' || ph.phrase || ' '))"""
+
+ORACLE["phrase_mentions"] = with_(PHRASE_POSTS) + "SELECT item_id, post_id, source FROM mentions"
+
+ORACLE["channel_mentions"] = with_(PHRASE_POSTS) + """
+SELECT item_id, post_id, source FROM mentions WHERE source IN ('src0', 'src3', 'src7', 'src11')"""
+
+ORACLE["ranked_mentions"] = with_(PHRASE_POSTS) + """
+SELECT item_id, source, post_id, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT m.item_id, m.source, m.post_id, po.score,
+         row_number() OVER (PARTITION BY m.item_id, m.source ORDER BY po.score DESC, m.post_id) AS rank
+  FROM mentions m JOIN po ON m.post_id = po.post_id) WHERE rank <= 3"""
+
+
+def _hint(x: str) -> str:
+    """32-bit integer of the first 8 hex digits of md5(x)."""
+    return f"CAST(('0x' || substr(md5({x}), 1, 8)) AS BIGINT)"
+
+
+GENERATED = CATALOG_CLEAN + """,
+gen_src AS (SELECT title, director, source,
+                   concat_ws('|', 'reelscope', title, coalesce(director, ''), source) AS skey
+            FROM catalog_clean, (VALUES ('netflix'), ('tvshows')) s(source)
+            WHERE title IS NOT NULL),
+gen_ck AS (SELECT g.*, i, skey || '|' || CAST(i AS VARCHAR) AS ck,
+                  CAST(""" + _hint("skey || '|score'") + """ % 101 AS INTEGER) AS score
+           FROM gen_src g, range(0, 250) r(i)),
+gen_idx AS (SELECT *, md5(ck || '#0') || md5(ck || '#1') || md5(ck || '#2') || md5(ck || '#3') AS hx
+            FROM gen_ck),
+gen AS (SELECT title AS show_title, director AS show_director, source, md5(skey) AS sub_id, score,
+          CAST(i AS VARCHAR) AS comment_id,
+          substr(array_to_string(list_transform(range(0, 5), lambda k:
+             array_to_string(list_transform(range(0, 10), lambda p:
+               chr(97 + CAST((CAST(('0x' || substr(hx, 12 * k + 1, 12)) AS BIGINT)
+                              // CAST(pow(26, 9 - p) AS BIGINT)) % 26 AS INTEGER))), '')), ''),
+                 1, 8 + CAST(""" + _hint("ck || '|len'") + """ % 43 AS INTEGER)) AS body,
+          TIMESTAMP '2024-01-01 00:00:00' - INTERVAL 10368000 SECOND
+             + to_seconds(""" + _hint("ck || '|ts'") + """ % 10368000) AS created_utc
+        FROM gen_idx)"""
+
+ORACLE["generated_comments"] = with_(GENERATED) + f"""
+SELECT show_title, show_director, source, sub_id, score AS sub_score, count(*) AS n_comments,
+       CAST(sum(length(body)) AS BIGINT) AS body_chars, min(length(body)) AS min_body,
+       max(length(body)) AS max_body, CAST(min(created_utc) AS VARCHAR) AS first_created,
+       CAST(max(created_utc) AS VARCHAR) AS last_created,
+       {DIGEST("concat_ws('|', comment_id, body, CAST(created_utc AS VARCHAR), CAST(score AS VARCHAR))")} AS comments_digest
+FROM gen GROUP BY show_title, show_director, source, sub_id, score"""
+
+ORACLE["generated_bodies"] = with_(GENERATED) + """
+SELECT show_title, show_director, comment_id, body, CAST(created_utc AS VARCHAR) AS created_utc, score
+FROM gen WHERE source = 'netflix'"""

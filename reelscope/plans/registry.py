@@ -136,3 +136,64 @@ def shows_table(spark, sf_dir):
     built = shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir),
                                      fx.comments_flat(spark, sf_dir))
     return shows_ops.shows_flat(built)
+
+
+@query
+def phrase_mentions(spark, sf_dir):
+    """Posts that contain a searched title as an exact phrase,
+    all channels, whole texts."""
+    from reelscope.operators.mentions import match_mentions
+    return match_mentions(fx.phrases(spark, sf_dir), fx.posts(spark, sf_dir), ["item_id"])
+
+
+@query
+def channel_mentions(spark, sf_dir):
+    """The same search restricted to a channel list argument
+    (whitespace separated, as the reference's job argument)."""
+    from reelscope.operators.mentions import match_mentions
+    return match_mentions(fx.phrases(spark, sf_dir), fx.posts(spark, sf_dir), ["item_id"],
+                          channels="src0  src3 src7\tsrc11")
+
+
+@query
+def ranked_mentions(spark, sf_dir):
+    """Per (title, channel) the 3 matching posts with the highest
+    score (post length), ties by post id."""
+    from reelscope.operators.mentions import match_mentions, rank_mentions
+    m = match_mentions(fx.phrases(spark, sf_dir), fx.posts(spark, sf_dir), ["item_id"])
+    scored = m.join(fx.posts(spark, sf_dir).select("post_id", "score"), "post_id", "inner")
+    return rank_mentions(scored, F.col("score"), ["item_id", "source"], 3, tie=["post_id"]) \
+        .select("item_id", "source", "post_id", "score", F.col("rank").cast("int").alias("rank"))
+
+
+@query
+def generated_comments(spark, sf_dir):
+    """Synthetic submissions (2 sources × 250
+    comments per clean catalog row), summarised per submission."""
+    from reelscope.functions.synthetic import digest
+    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.nesting import flatten_comments
+    subs = generate_comments(fx.catalog_clean(spark, sf_dir))
+    flat = flatten_comments(subs, keep=("show_title", "show_director", "source",
+                                        F.col("submission_id").alias("sub_id"),
+                                        F.col("score").alias("sub_score")))
+    key = F.concat_ws("|", "comment_id", "body", F.col("created_utc").cast("string"),
+                      F.col("score").cast("string"))
+    return flat.groupBy("show_title", "show_director", "source", "sub_id", "sub_score").agg(
+        F.count(F.lit(1)).alias("n_comments"),
+        F.sum(F.length("body")).cast("bigint").alias("body_chars"),
+        F.min(F.length("body")).alias("min_body"), F.max(F.length("body")).alias("max_body"),
+        F.min("created_utc").cast("string").alias("first_created"),
+        F.max("created_utc").cast("string").alias("last_created"),
+        digest(key).alias("comments_digest"))
+
+
+@query
+def generated_bodies(spark, sf_dir):
+    """Every generated comment body of one source, with its time."""
+    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.nesting import flatten_comments
+    subs = generate_comments(fx.catalog_clean(spark, sf_dir), sources=("netflix",))
+    flat = flatten_comments(subs, keep=("show_title", "show_director"))
+    return flat.select("show_title", "show_director", "comment_id", "body",
+                       F.col("created_utc").cast("string").alias("created_utc"), "score")
