@@ -213,3 +213,80 @@ FROM gen GROUP BY show_title, show_director, source, sub_id, score"""
 ORACLE["generated_bodies"] = with_(GENERATED) + """
 SELECT show_title, show_director, comment_id, body, CAST(created_utc AS VARCHAR) AS created_utc, score
 FROM gen WHERE source = 'netflix'"""
+
+NESTED_SUMMARY = with_(SUBMISSIONS[1:], COMMENTS) + f"""
+SELECT s.submission_id, c.show_title, c.show_director, s.source, s.author,
+       CAST(coalesce(c.n_comments, 0) AS BIGINT) AS n_comments,
+       coalesce(c.comments_digest, 0) AS comments_digest
+FROM landed_submissions s LEFT JOIN (
+  SELECT submission_id, show_title, show_director, count(*) AS n_comments,
+         {DIGEST('comment_id')} AS comments_digest
+  FROM landed_comments GROUP BY submission_id, show_title, show_director) c
+ON s.submission_id = c.submission_id"""
+
+ORACLE["nested_submissions"] = NESTED_SUMMARY
+ORACLE["discussions_roundtrip"] = NESTED_SUMMARY
+
+FLAT = with_(COMMENTS_FLAT[1:]) + """
+SELECT show_title, show_director, source, title, description, author, comment_id, body,
+       CAST(created_utc AS VARCHAR) AS created_utc, score, parent_id, submission_id
+FROM comments_flat"""
+ORACLE["flat_comments"] = FLAT
+ORACLE["comments_partitioned_roundtrip"] = FLAT
+
+ORACLE["catalog_csv_scan"] = with_(CATALOG_RAW) + """
+SELECT * FROM catalog_raw WHERE CAST(show_id AS BIGINT) % 113 <> 0"""
+
+ORACLE["catalog_csv_quarantine"] = with_(CATALOG_RAW) + """
+SELECT show_id, title, CAST(show_id AS BIGINT) % 113 = 0 AS quarantined FROM catalog_raw"""
+
+ORACLE["catalog_roundtrip"] = ORACLE["catalog_clean"]
+
+ORACLE["catalog_bucketed"] = with_(CATALOG_CLEAN) + """
+SELECT release_year, count(*) AS n_shows FROM catalog_clean GROUP BY release_year"""
+
+ORACLE["append_then_replace"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """
+SELECT k.show_id, CAST(2 AS BIGINT) AS copies_append, CAST(1 AS BIGINT) AS copies_replace
+FROM catalog_clean k
+WHERE k."cast" IS NOT NULL AND EXISTS (SELECT 1 FROM comments_flat c
+      WHERE c.show_title = k.title AND c.show_director = k.director)"""
+
+_PROFILE_COLS = [("show_id", "bigint"), ("type", "string"), ("title", "string"),
+                 ("director", "string"), ("cast", "string"), ("country", "string"),
+                 ("date_added", "date"), ("release_year", "int"), ("duration", "string"),
+                 ("description", "string")]
+ORACLE["schema_profile"] = with_(CATALOG_CLEAN) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows,
+       count(*) - count("{c}") AS n_nulls, count(DISTINCT CAST("{c}" AS VARCHAR)) AS n_distinct
+FROM catalog_clean""" for c, t in _PROFILE_COLS)
+
+ORACLE["checks"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """,
+r AS (
+  SELECT 'no_null_titles' AS "check", '0' AS expected,
+         CAST((SELECT count(*) FROM catalog_clean WHERE title IS NULL) AS VARCHAR) AS actual
+  UNION ALL SELECT 'unique_show_ids', '0',
+         CAST((SELECT count(*) - count(DISTINCT show_id) FROM catalog_clean) AS VARCHAR)
+  UNION ALL SELECT 'keys_unique_after_clean', '0',
+         CAST((SELECT count(*) FROM (SELECT title, director FROM catalog_clean
+               GROUP BY title, director HAVING count(*) > 1)) AS VARCHAR)
+  UNION ALL SELECT 'string_is_not_number', '0', '0'
+  UNION ALL SELECT 'null_equals_none', NULL, NULL
+  UNION ALL SELECT 'no_rows_fails', NULL, NULL
+  UNION ALL SELECT 'every_show_has_comments', '0',
+         CAST((SELECT count(*) FROM catalog_clean k WHERE NOT EXISTS (SELECT 1 FROM comments_flat c
+               WHERE c.show_title = k.title AND c.show_director = k.director)) AS VARCHAR))
+SELECT "check", expected, actual,
+       CASE WHEN "check" = 'string_is_not_number' THEN false
+            WHEN "check" = 'no_rows_fails' THEN false
+            WHEN "check" = 'null_equals_none' THEN true
+            ELSE actual = expected END AS passed
+FROM r"""
+
+ORACLE["epoch_to_ts"] = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS epoch_seconds,
+       CAST(ts AS VARCHAR) AS created_utc FROM events"""
+
+ORACLE["channels"] = r"""
+SELECT doc_id, channel FROM (
+  SELECT doc_id, unnest(string_split_regex(regexp_replace(' ' || source || '  ' || lang || chr(9),
+                 '^\s+|\s+$', '', 'g'), '\s+')) AS channel FROM documents) WHERE channel <> ''"""

@@ -197,3 +197,196 @@ def generated_bodies(spark, sf_dir):
     flat = flatten_comments(subs, keep=("show_title", "show_director"))
     return flat.select("show_title", "show_director", "comment_id", "body",
                        F.col("created_utc").cast("string").alias("created_utc"), "score")
+
+
+# ---------------------------------------------------------------- nesting
+
+def _nested(spark, sf_dir):
+    from reelscope.operators.nesting import nest_comments
+    return nest_comments(fx.landed_submissions(spark, sf_dir), fx.landed_comments(spark, sf_dir))
+
+
+def _submission_summary(nested):
+    """Per submission row: comment count and id digest; parts merged."""
+    from reelscope.functions.synthetic import hash60
+    part_digest = F.aggregate(F.transform("comments", lambda c: hash60(c["comment_id"])),
+                              F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x))
+    keys = ["submission_id", "show_title", "show_director", "source", "author"]
+    return nested.groupBy(*keys).agg(
+        F.sum(F.size("comments")).cast("bigint").alias("n_comments"),
+        F.bit_xor(part_digest).alias("comments_digest"))
+
+
+@query
+def nested_submissions(spark, sf_dir):
+    """Comments nested under their submission (bounded parts);
+    threads without comments keep an empty array."""
+    return _submission_summary(_nested(spark, sf_dir))
+
+
+@query
+def flat_comments(spark, sf_dir):
+    """Nest then flatten gives every comment back."""
+    from reelscope.operators.nesting import flatten_comments
+    flat = flatten_comments(_nested(spark, sf_dir))
+    return flat.withColumn("created_utc", F.col("created_utc").cast("string"))
+
+
+@query
+def discussions_roundtrip(spark, sf_dir):
+    """Landed discussions written as JSON lines, read back with
+    declared schemas and nested."""
+    from reelscope.operators.nesting import nest_comments
+    from reelscope.session import scratch_path
+    from reelscope.sources.readers import read_discussions
+    base = scratch_path(spark, "discussions")
+    fx.landed_submissions(spark, sf_dir).write.mode("overwrite").json(f"{base}/subs")
+    fx.landed_comments(spark, sf_dir).write.mode("overwrite").json(f"{base}/comments")
+    subs, comments = read_discussions(spark, f"{base}/subs", f"{base}/comments", "json")
+    return _submission_summary(nest_comments(subs, comments))
+
+
+# ---------------------------------------------------------- sources, sinks
+
+def _raw_csv(spark, sf_dir):
+    """Raw catalog as CSV files; rows with show_id % 113 = 0 are written
+    with one token too many (malformed)."""
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_catalog_csv
+    raw = fx.catalog_raw(spark, sf_dir)
+    bad = F.col("show_id").cast("bigint") % 113 == 0
+    base = scratch_path(spark, "catalog-csv")
+    write_catalog_csv(raw.where(~bad), f"{base}/good")
+    write_catalog_csv(raw.where(bad).withColumn("extra", F.lit("x")), f"{base}/bad")
+    return [f"{base}/good", f"{base}/bad"]
+
+
+@query
+def catalog_csv_scan(spark, sf_dir):
+    """S1 (drop): malformed rows are dropped, every column parsed."""
+    from reelscope.sources.readers import read_catalog_csv
+    return read_catalog_csv(spark, _raw_csv(spark, sf_dir), on_malformed="drop")
+
+
+@query
+def catalog_csv_quarantine(spark, sf_dir):
+    """S1 (quarantine): every row kept, malformed ones flagged."""
+    from reelscope.sources.readers import read_catalog_csv
+    flagged = read_catalog_csv(spark, _raw_csv(spark, sf_dir), on_malformed="flag")
+    return flagged.select("show_id", "title", "quarantined")
+
+
+@query
+def catalog_roundtrip(spark, sf_dir):
+    """Clean catalog written as Parquet and read back."""
+    from reelscope.session import scratch_path
+    from reelscope.sources.readers import read_catalog
+    from reelscope.sources.writers import write_parquet
+    path = scratch_path(spark, "catalog-clean")
+    write_parquet(fx.catalog_clean(spark, sf_dir), path)
+    return read_catalog(spark, path).withColumn("date_added", F.col("date_added").cast("string"))
+
+
+@query
+def comments_partitioned_roundtrip(spark, sf_dir):
+    """Nested submissions written under bounded key-bucket
+    directories, read back with the declared schema, flattened."""
+    from reelscope.operators.nesting import flatten_comments
+    from reelscope.session import scratch_path
+    from reelscope.sources.readers import read_submissions
+    from reelscope.sources.writers import write_partitioned
+    path = scratch_path(spark, "submissions")
+    nested = _nested(spark, sf_dir).drop("part", "n_parts")
+    write_partitioned(nested, path, ["show_title"], mode="overwrite", buckets=16)
+    back = read_submissions(spark, path, partition_cols=("key_bucket",))
+    flat = flatten_comments(back)
+    return flat.withColumn("created_utc", F.col("created_utc").cast("string"))
+
+
+@query
+def catalog_bucketed(spark, sf_dir):
+    """K3: clean catalog as a table bucketed on release_year (2 buckets,
+    as the reference), then shows per release year."""
+    import uuid
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_bucketed
+    name = f"catalog_bucketed_{uuid.uuid4().hex[:8]}"
+    write_bucketed(fx.catalog_clean(spark, sf_dir), name, scratch_path(spark, name), 2,
+                   "release_year")
+    return explore.group_count(spark.table(name), ["release_year"], "n_shows")
+
+
+@query
+def append_then_replace(spark, sf_dir):
+    """The shows table written twice for one run id, by append
+    (the reference: duplicates) and by replace (rerun-safe)."""
+    import uuid
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_shows
+    built = shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir),
+                                     fx.comments_flat(spark, sf_dir))
+    tag = uuid.uuid4().hex[:8]
+    counts = {}
+    for mode in ("append", "replace"):
+        name = f"shows_{mode}_{tag}"
+        for _ in range(2):
+            write_shows(built, name, scratch_path(spark, name), run_id="r1", mode=mode)
+        counts[mode] = spark.table(name).groupBy("show_id").agg(
+            F.count(F.lit(1)).alias(f"copies_{mode}"))
+    return counts["append"].join(counts["replace"], "show_id", "full_outer")
+
+
+# ------------------------------------------------------- checks, profile
+
+@query
+def schema_profile(spark, sf_dir):
+    """Per column of the clean catalog: type, rows, nulls, distinct."""
+    from reelscope.operators.quality import schema_profile as profile
+    return profile(fx.catalog_clean(spark, sf_dir), exact=True)
+
+
+CHECKS = [
+    ("no_null_titles", "SELECT count(*) FROM catalog_clean WHERE title IS NULL", 0),
+    ("unique_show_ids", "SELECT count(*) - count(DISTINCT show_id) FROM catalog_clean", 0),
+    ("keys_unique_after_clean",
+     "SELECT count(*) FROM (SELECT title, director FROM catalog_clean "
+     "GROUP BY title, director HAVING count(*) > 1) d", 0),
+    ("string_is_not_number", "SELECT '0' AS v", 0),
+    ("null_equals_none",
+     "SELECT max(release_year) FROM catalog_clean WHERE show_id < 0", None),
+    ("no_rows_fails", "SELECT title FROM catalog_clean WHERE 1 = 0", None),
+    ("every_show_has_comments",
+     "SELECT count(*) FROM catalog_clean k WHERE NOT EXISTS (SELECT 1 FROM comments_flat c "
+     "WHERE c.show_title = k.title AND c.show_director = k.director)", 0),
+]
+
+
+@query
+def checks(spark, sf_dir):
+    """Q1: SQL assertions over the clean catalog and comments."""
+    from reelscope.operators.quality import run_checks
+    fx.catalog_clean(spark, sf_dir).createOrReplaceTempView("catalog_clean")
+    fx.comments_flat(spark, sf_dir).createOrReplaceTempView("comments_flat")
+    return run_checks(spark, CHECKS).select("check", "expected", "actual", "passed")
+
+
+# ------------------------------------------------------------- functions
+
+@query
+def epoch_to_ts(spark, sf_dir):
+    """Epoch seconds → timestamp (UTC), number → string id."""
+    from reelscope.functions.casts import epoch_to_timestamp, to_id
+    ev = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    epoch = F.unix_micros("ts") / F.lit(1_000_000)
+    return ev.select(to_id("event_id").alias("event_id"),
+                     F.unix_seconds("ts").alias("epoch_seconds"),
+                     epoch_to_timestamp(epoch).cast("string").alias("created_utc"))
+
+
+@query
+def channels(spark, sf_dir):
+    """Channel lists split on runs of whitespace, no empty names."""
+    from reelscope.functions.text import parse_channels
+    docs = fx.table(spark, sf_dir, "documents")
+    listed = F.concat(F.lit(" "), "source", F.lit("  "), "lang", F.lit("\t"))
+    return docs.select("doc_id", F.explode(parse_channels(listed)).alias("channel"))
