@@ -290,3 +290,14 @@ ORACLE["channels"] = r"""
 SELECT doc_id, channel FROM (
   SELECT doc_id, unnest(string_split_regex(regexp_replace(' ' || source || '  ' || lang || chr(9),
                  '^\s+|\s+$', '', 'g'), '\s+')) AS channel FROM documents) WHERE channel <> ''"""
+
+ORACLE["mentions_per_day"] = with_(CATALOG_CLEAN) + """
+SELECT CAST(date_trunc('day', e.ts) AS VARCHAR) AS day, k.show_id, k.title, count(*) AS n_mentions,
+       sum(CAST(round(e.value * 100) AS BIGINT)) AS score_cents
+FROM events e JOIN catalog_clean k ON e.user_id = k.show_id
+GROUP BY date_trunc('day', e.ts), k.show_id, k.title"""
+
+ORACLE["mention_alerts"] = with_(CATALOG_CLEAN) + """
+SELECT e.event_id, CAST(e.ts AS VARCHAR) AS ts, k.show_id, k.title, e.event_type,
+       CAST(round(e.value * 100) AS BIGINT) AS score_cents
+FROM (SELECT DISTINCT ON (event_id) * FROM events) e JOIN catalog_clean k ON e.user_id = k.show_id"""

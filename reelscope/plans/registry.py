@@ -390,3 +390,29 @@ def channels(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     listed = F.concat(F.lit(" "), "source", F.lit("  "), "lang", F.lit("\t"))
     return docs.select("doc_id", F.explode(parse_channels(listed)).alias("channel"))
+
+
+# -------------------------------------------------------------- streaming
+
+@query
+def mentions_per_day(spark, sf_dir):
+    """Mentions per show per day (batch form of the stream function)."""
+    from reelscope.streaming.mentions import mentions_per_window
+    ev = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = mentions_per_window(ev, fx.catalog_clean(spark, sf_dir), "1 day")
+    return out.select(F.col("w.start").cast("string").alias("day"), "show_id", "title",
+                      "n_mentions", "score_cents")
+
+
+@query
+def mention_alerts(spark, sf_dir):
+    """The events table consumed as a stream (availableNow), deduplicated
+    within a watermark, joined to the catalog, appended to a Parquet sink."""
+    from reelscope.session import scratch_path
+    from reelscope.streaming.mentions import run_alert_stream
+    base = scratch_path(spark, "alerts")
+    run_alert_stream(spark, sf_dir, fx.catalog_clean(spark, sf_dir), f"{base}/sink",
+                     f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/sink")
+    return out.select("event_id", F.col("ts").cast("string").alias("ts"), "show_id", "title",
+                      "event_type", F.round(F.col("score") * 100).cast("bigint").alias("score_cents"))
