@@ -63,18 +63,29 @@ def nest_comments(submissions: DataFrame, comments: DataFrame,
                   max_per_row: int | None = MAX_PER_ROW) -> DataFrame:
     """Nest comments under their submission.
 
-    ``submissions`` holds one row per submission (submission fields except
-    the show keys); ``comments`` holds one row per comment with
-    ``submission_id, show_title, show_director`` and the comment fields.
-    Output has the SUBMISSION schema plus ``part``/``n_parts``; a submission
-    without comments keeps one row with an empty array and null show keys.
+    ``comments`` holds one row per comment with ``submission_id,
+    show_title, show_director`` and the comment fields. ``submissions``
+    holds one row per submission; if it has the show keys too (one row per
+    (show, thread), as a search produces) they are part of the match,
+    otherwise they come from the comments. Output: SUBMISSION schema plus
+    ``part``/``n_parts``; a submission without comments keeps one row with
+    an empty array.
     """
     keys = ["submission_id", "show_title", "show_director"]
     nested = bounded_collect(comments, keys, comment_struct(), F.col("comment_id"),
                              "comments", max_per_row)
-    sub_cols = [f.name for f in SUBMISSION_FIELDS.fields
-                if f.name not in ("show_title", "show_director")]
-    joined = submissions.select(*sub_cols).join(nested, "submission_id", "left")
+    if "show_title" in submissions.columns:
+        subs = submissions.select(*[f.name for f in SUBMISSION_FIELDS.fields])
+        n = nested.select(*[F.col(k).alias(f"__{k}") for k in keys], "comments", "part", "n_parts")
+        cond = None
+        for k in keys:
+            c = subs[k].eqNullSafe(n[f"__{k}"])
+            cond = c if cond is None else cond & c
+        joined = subs.join(n, cond, "left")
+    else:
+        sub_cols = [f.name for f in SUBMISSION_FIELDS.fields
+                    if f.name not in ("show_title", "show_director")]
+        joined = submissions.select(*sub_cols).join(nested, "submission_id", "left")
     return joined.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SUBMISSION_FIELDS.fields],
         F.coalesce("comments", F.array().cast(f"array<{COMMENT.simpleString()}>")).alias("comments"),
