@@ -34,6 +34,12 @@ def normalize_text(c) -> Column:
     return F.trim(F.regexp_replace(F.lower(_c(c)), NON_WORD, " "))
 
 
+def word_tokens(c) -> Column:
+    """Tokens of raw text in one regex pass: the same tokens as
+    ``tokens(normalize_text(c))`` without building the normalized string."""
+    return F.array_remove(F.split(F.lower(_c(c)), NON_WORD), "")
+
+
 def tokens(normalized) -> Column:
     """Tokens of an already normalized text (empty text → empty array)."""
     n = _c(normalized)

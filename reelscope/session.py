@@ -26,6 +26,7 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
