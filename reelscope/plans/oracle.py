@@ -189,7 +189,7 @@ gen_src AS (SELECT title, director, source,
 gen_ck AS (SELECT g.*, i, skey || '|' || CAST(i AS VARCHAR) AS ck,
                   CAST(""" + _hint("skey || '|score'") + """ % 101 AS INTEGER) AS score
            FROM gen_src g, range(0, 250) r(i)),
-gen_idx AS (SELECT *, md5(ck || '#0') || md5(ck || '#1') || md5(ck || '#2') || md5(ck || '#3') AS hx
+gen_idx AS (SELECT *, md5(ck || '#0') || md5(ck || '#1') || md5(ck || '#2') AS hx
             FROM gen_ck),
 gen AS (SELECT title AS show_title, director AS show_director, source, md5(skey) AS sub_id, score,
           CAST(i AS VARCHAR) AS comment_id,
@@ -197,9 +197,9 @@ gen AS (SELECT title AS show_title, director AS show_director, source, md5(skey)
              array_to_string(list_transform(range(0, 10), lambda p:
                chr(97 + CAST((CAST(('0x' || substr(hx, 12 * k + 1, 12)) AS BIGINT)
                               // CAST(pow(26, 9 - p) AS BIGINT)) % 26 AS INTEGER))), '')), ''),
-                 1, 8 + CAST(""" + _hint("ck || '|len'") + """ % 43 AS INTEGER)) AS body,
+                 1, 8 + CAST(CAST(('0x' || substr(hx, 61, 8)) AS BIGINT) % 43 AS INTEGER)) AS body,
           TIMESTAMP '2024-01-01 00:00:00' - INTERVAL 10368000 SECOND
-             + to_seconds(""" + _hint("ck || '|ts'") + """ % 10368000) AS created_utc
+             + to_seconds(CAST(('0x' || substr(hx, 69, 8)) AS BIGINT) % 10368000) AS created_utc
         FROM gen_idx)"""
 
 ORACLE["generated_comments"] = with_(GENERATED) + f"""
