@@ -47,6 +47,30 @@ def get_session(master: str | None = None, app: str = "reelscope",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions start at ~input / 256 MB (at least 3 × cores) so a
+    partition of the largest shuffle fits an executor's memory with room for
+    spills; AQE then coalesces small ones toward the advisory size and
+    splits skewed ones. Scans read 256 MB splits. Example: 100 TB on 8000
+    cores → about 400,000 initial shuffle partitions.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # runtime broadcast only for sides measured under 64 MB
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
