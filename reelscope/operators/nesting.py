@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelscope.operators.sizing import MAX_BROADCAST_ROWS, checked_broadcast
 from reelscope.schemas import COMMENT, SUBMISSION_FIELDS
 
 # Default upper bound (in expectation) of elements gathered into one row.
@@ -22,33 +23,43 @@ MAX_PER_ROW = 50_000
 
 def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: Column,
                     out: str, max_per_row: int | None = MAX_PER_ROW,
-                    sort: bool = True) -> DataFrame:
+                    sort: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``groupBy(keys).agg(collect_list(value))`` with bounded rows.
 
     Returns ``keys + [part, n_parts, out]``. Group sizes are counted first
-    (map-side combined, cheap), joined back (AQE splits a skewed key), and
-    each element goes to part ``pmod(hash(id), ceil(n / max_per_row))``.
-    The gather is then shuffled on (keys, part), so one hot key spreads
-    over many tasks. ``max_per_row=None`` gathers whole groups (only for
-    inputs whose groups are bounded by construction).
+    (partial aggregation, cheap) and only the **hot** keys — more than
+    ``max_per_row`` elements — are kept and materialized. Elements of a hot
+    key go to part ``pmod(hash(id), ceil(n / max_per_row))``; all others to
+    part 0. The hot-key table is broadcast only after its row count is
+    checked (else a shuffle join, AQE splitting skew), and skipped entirely
+    when empty, so the common case costs one shuffle: the gather on
+    (keys, part), which spreads a hot key over many tasks.
+    ``max_per_row=None`` gathers whole groups (only for inputs whose groups
+    are bounded by construction).
     """
     keys = list(keys)
     tagged = df.select(*keys, value.alias("__v"), id_col.alias("__id"))
-    if max_per_row is None:
+    n_hot = 0
+    if max_per_row is not None:
+        hot = (tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .where(F.col("__n") > max_per_row)
+               .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n"))
+        hot, n_hot = checked_broadcast(hot, max_broadcast_rows)
+    if n_hot == 0:
         parts = tagged.withColumns({"part": F.lit(0), "n_parts": F.lit(1)})
     else:
-        sizes = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        sizes = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n")
         cond = None
         for i, k in enumerate(keys):
             c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
             cond = c if cond is None else cond & c
-        joined = tagged.join(sizes, cond, "inner").select(*keys, "__v", "__id", "__n")
-        n_parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_per_row))).cast("int")
+        joined = tagged.join(hot, cond, "left").select(*keys, "__v", "__id", "__n")
+        n_parts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("__n"), F.lit(0))
+                                              / F.lit(max_per_row))).cast("int")
         parts = joined.withColumns({
             "n_parts": n_parts,
             "part": F.pmod(F.xxhash64("__id"), n_parts).cast("int"),
-        }).repartition(*keys, "part")
+        })
+    parts = parts.repartition(*keys, "part")
     arr = F.collect_list("__v")
     if sort:
         arr = F.array_sort(arr)

@@ -157,6 +157,16 @@ def test_bounded_collect_spreads_hot_key(spark):
     assert len(rows) == 10 and all(r.n_parts == 10 for r in rows)
     assert sorted(x for r in rows for x in r.xs) == list(range(10_000))  # nothing dropped
     assert max(len(r.xs) for r in rows) < 1500
+    # beyond the broadcast bound the hot-key join shuffles: same result
+    shuffled = bounded_collect(df, ["k"], F.col("id"), F.col("id").cast("string"), "xs",
+                               max_per_row=1000, max_broadcast_rows=0).collect()
+    assert sorted(x for r in shuffled for x in r.xs) == list(range(10_000))
+    assert len(shuffled) == 10
+    # small keys stay in one row
+    small = spark.range(30).select((F.col("id") % 3).alias("k"), F.col("id"))
+    rows = bounded_collect(small, ["k"], F.col("id"), F.col("id").cast("string"), "xs",
+                           max_per_row=1000).collect()
+    assert len(rows) == 3 and all(r.part == 0 and len(r.xs) == 10 for r in rows)
 
 
 def _flat(spark):
