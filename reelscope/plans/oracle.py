@@ -301,3 +301,11 @@ ORACLE["mention_alerts"] = with_(CATALOG_CLEAN) + """
 SELECT e.event_id, CAST(e.ts AS VARCHAR) AS ts, k.show_id, k.title, e.event_type,
        CAST(round(e.value * 100) AS BIGINT) AS score_cents
 FROM (SELECT DISTINCT ON (event_id) * FROM events) e JOIN catalog_clean k ON e.user_id = k.show_id"""
+
+ORACLE["titles_desc"] = with_(CATALOG_RAW) + """
+SELECT show_id, title, director FROM catalog_raw
+ORDER BY title DESC NULLS LAST, show_id ASC LIMIT 5"""
+
+ORACLE["title_counts_raw"] = with_(CATALOG_RAW) + """
+SELECT title, count(*) AS count FROM catalog_raw GROUP BY title
+ORDER BY count DESC, title ASC NULLS FIRST LIMIT 5"""

@@ -416,3 +416,22 @@ def mention_alerts(spark, sf_dir):
     out = spark.read.parquet(f"{base}/sink")
     return out.select("event_id", F.col("ts").cast("string").alias("ts"), "show_id", "title",
                       "event_type", F.round(F.col("score") * 100).cast("bigint").alias("score_cents"))
+
+
+# ------------------------------------------------------------------ order
+
+@query
+def titles_desc(spark, sf_dir):
+    """O1 O3: raw catalog by title descending (Spark's default puts nulls
+    last when descending), ties by show id so the limit is repeatable."""
+    raw = fx.catalog_raw(spark, sf_dir)
+    return explore.top_k(raw, [F.desc("title"), F.asc("show_id")], 5) \
+        .select("show_id", "title", "director")
+
+
+@query
+def title_counts_raw(spark, sf_dir):
+    """A1 O2: titles entered most often in the raw catalog (nulls counted
+    as one group), ties by title."""
+    counts = explore.group_count(fx.catalog_raw(spark, sf_dir), ["title"])
+    return explore.top_k(counts, [F.desc("count"), F.asc_nulls_first("title")], 5)
