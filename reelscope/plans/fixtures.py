@@ -145,6 +145,3 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         "item_id", F.substring_index("text", ".", 1).alias("title"))
 
-
-def stream_source_dir(sf_dir: str) -> str:
-    return sf_dir.rstrip("/")

@@ -7,7 +7,6 @@ unset (local runs, tests) is a folder chosen here.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -92,9 +91,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def session_zone_is_utc(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "+00:00")
-
-
-os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
