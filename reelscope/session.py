@@ -79,12 +79,18 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     local = tempfile.mkdtemp(prefix="reelscope-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir().rstrip("/")
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
