@@ -141,7 +141,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Searched titles: benchmark items, title key = text before the first '.'."""
-    return table(spark, sf_dir, "benchmark").select(
-        "item_id", F.substring_index("text", ".", 1).alias("title"))
+    """Searched titles: benchmark items through the catalog's title-key rule
+    (X5: text before the first ':', the whole text when there is none)."""
+    from reelscope.functions.text import title_key
+    return table(spark, sf_dir, "benchmark").select("item_id", title_key("text").alias("title"))
 

@@ -157,7 +157,7 @@ ON k.title = s.show_title AND k.director = s.show_director
 WHERE k."cast" IS NOT NULL"""
 
 PHRASE_POSTS = r"""
-ph AS (SELECT item_id, trim(regexp_replace(lower(split_part(text, '.', 1)), '[^\p{L}\p{N}]+', ' ', 'g')) AS phrase
+ph AS (SELECT item_id, trim(regexp_replace(lower(split_part(text, ':', 1)), '[^\p{L}\p{N}]+', ' ', 'g')) AS phrase
        FROM benchmark),
 po AS (SELECT doc_id AS post_id, source, n_chars AS score,
               trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS nt FROM documents),
