@@ -2,7 +2,7 @@
 
     spark-submit reelscope/cli.py catalog  RAW_CSV CLEAN_DIR [--quarantine] [--normalize-first]
     spark-submit reelscope/cli.py comments CLEAN_DIR SUBMISSIONS_DIR --flag True \\
-        --discussions SUBS_PATH COMMENTS_PATH [--channels "netflix NetflixBestOf bestofnetflix"]
+        --discussions SUBS_PATH COMMENTS_PATH [--channels "CHANNEL_A CHANNEL_B"]
     spark-submit reelscope/cli.py shows    CLEAN_DIR SUBMISSIONS_DIR TABLE TABLE_DIR RUN_ID
     spark-submit reelscope/cli.py all      RAW_CSV WORK_DIR TABLE RUN_ID [--flag …]
 

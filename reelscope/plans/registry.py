@@ -191,9 +191,9 @@ def generated_comments(spark, sf_dir):
 @query
 def generated_bodies(spark, sf_dir):
     """Every generated comment body of one source, with its time."""
-    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.generator import DEFAULT_SOURCES, generate_comments
     from reelscope.operators.nesting import flatten_comments
-    subs = generate_comments(fx.catalog_clean(spark, sf_dir), sources=("netflix",))
+    subs = generate_comments(fx.catalog_clean(spark, sf_dir), sources=DEFAULT_SOURCES[:1])
     flat = flatten_comments(subs, keep=("show_title", "show_director"))
     return flat.select("show_title", "show_director", "comment_id", "body",
                        F.col("created_utc").cast("string").alias("created_utc"), "score")

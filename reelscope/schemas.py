@@ -1,4 +1,9 @@
-"""Declared schemas: the contracts between the jobs."""
+"""Declared schemas: the contracts between the jobs.
+
+Fixed values: column names and types below must equal the pipeline's
+tables (raw catalog, submissions with nested comments, shows) so that data
+written by one side reads on the other.
+"""
 
 from __future__ import annotations
 

@@ -40,7 +40,7 @@ def raw(spark):
 
 
 def test_scalar_functions(spark):
-    df = spark.createDataFrame([('a"b"', "Part: Two: x", "  netflix  NetflixBestOf\tx ",
+    df = spark.createDataFrame([('a"b"', "Part: Two: x", "  chanA  ChanB\tx ",
                                  "Héllo, World!", "12", "n/a", "September 9, 2019", 1.5)],
                                "t string, k string, ch string, n string, i string, b string, "
                                "d string, e double")
@@ -49,7 +49,7 @@ def test_scalar_functions(spark):
                   safe_long("i").alias("i"), safe_int("b").alias("b"),
                   parse_added_date("d").alias("d"),
                   epoch_to_timestamp("e").cast("string").alias("e")).first()
-    assert r.t == "ab" and r.k == "Part" and r.ch == ["netflix", "NetflixBestOf", "x"]
+    assert r.t == "ab" and r.k == "Part" and r.ch == ["chanA", "ChanB", "x"]
     assert r.n == "héllo world" and r.i == 12 and r.b is None
     assert r.d == dt.date(2019, 9, 9)
     assert r.e == "1970-01-01 00:00:01.5"
@@ -121,10 +121,10 @@ COMMENT_ROWS = [
     ("s2", "The Silence", "B", "c3", "other director", dt.datetime(2020, 1, 3), 2, "t3_s2"),
     ("s3", "Quoted", "Q", "c4", "q", dt.datetime(2020, 1, 4), 3, "t3_s3"),
 ]
-SUB_ROWS = [("s1", "netflix", "t1", "d1", dt.datetime(2020, 1, 1), "u1", 10, False, False, None, "/1"),
-            ("s2", "tvshows", "t2", "d2", dt.datetime(2020, 1, 1), "u2", 11, False, False, None, "/2"),
-            ("s3", "netflix", "t3", "d3", dt.datetime(2020, 1, 1), "u3", 12, False, False, None, "/3"),
-            ("s4", "netflix", "t4", "d4", dt.datetime(2020, 1, 1), None, 13, False, False, None, "/4")]
+SUB_ROWS = [("s1", "chan_a", "t1", "d1", dt.datetime(2020, 1, 1), "u1", 10, False, False, None, "/1"),
+            ("s2", "chan_b", "t2", "d2", dt.datetime(2020, 1, 1), "u2", 11, False, False, None, "/2"),
+            ("s3", "chan_a", "t3", "d3", dt.datetime(2020, 1, 1), "u3", 12, False, False, None, "/3"),
+            ("s4", "chan_a", "t4", "d4", dt.datetime(2020, 1, 1), None, 13, False, False, None, "/4")]
 SUB_SCHEMA = ("submission_id string, source string, title string, description string, "
               "created_utc timestamp, author string, score int, spoiler boolean, "
               "is_original_content boolean, distinguished string, link string")
@@ -198,7 +198,7 @@ def test_assemble_shows_contract(spark, raw):
     assert [a.name for a in r[1].actors] == ["X"]
     kept = assemble_shows(cat, _flat(spark), keep_without_cast=True, keep_source=True)
     r4 = {x.show_id: x for x in kept.collect()}
-    assert r4[4].actors == [] and r4[1].comments[0].source == "netflix"
+    assert r4[4].actors == [] and r4[1].comments[0].source == "chan_a"
 
 
 def test_conform_shows_rejects_null_title(spark):
@@ -265,15 +265,15 @@ def test_match_mentions_exact_phrase(spark):
     phrases = spark.createDataFrame([(1, "The Silence: Part 2"), (2, "Up"), (3, "!!!")],
                                     "item_id int, title string")
     posts = spark.createDataFrame([
-        (10, "netflix", "I loved THE silence, truly", 5),
-        (11, "netflix", "the silenced lambs", 9),
-        (12, "tvshows", "Up! and up again", 1),
-        (13, "tvshows", "update", 2),
+        (10, "chan_a", "I loved THE silence, truly", 5),
+        (11, "chan_a", "the silenced lambs", 9),
+        (12, "chan_b", "Up! and up again", 1),
+        (13, "chan_b", "update", 2),
         (14, "other", "up", 3)], "post_id int, source string, text string, score int")
     keyed = phrases.select("item_id", title_key("title").alias("title"))
     got = {(r.item_id, r.post_id) for r in match_mentions(keyed, posts, ["item_id"]).collect()}
     assert got == {(1, 10), (2, 12), (2, 14)}
-    chan = match_mentions(keyed, posts, ["item_id"], channels="netflix  tvshows")
+    chan = match_mentions(keyed, posts, ["item_id"], channels="chan_a  chan_b")
     assert {(r.item_id, r.post_id) for r in chan.collect()} == {(1, 10), (2, 12)}
     m = match_mentions(keyed, posts, ["item_id"]).join(posts.select("post_id", "score"), "post_id")
     top = rank_mentions(m, F.col("score"), ["item_id"], 1, tie=["post_id"]).collect()
