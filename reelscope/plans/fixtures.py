@@ -105,19 +105,26 @@ def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def comments_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def comments_flat(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """Flat comments with the submission fields the shows job reads.
 
     Same rows as landed_comments ⋈ landed_submissions, joined on the
-    numeric keys before any string is built.
+    numeric keys before any string is built. ``hot`` makes one show hold a
+    third of all comments: lines with ``l_orderkey % 3 = 0`` are about the
+    show of part 1 (every line is kept; only its show changes).
     """
     li = table(spark, sf_dir, "lineitem")
+    if hot:
+        li = li.withColumn("l_showpart", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint"))
+                           .otherwise(F.col("l_partkey")))
+    else:
+        li = li.withColumn("l_showpart", F.col("l_partkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
          .join(c, F.col("o_custkey") == c["c_custkey"], "left")
-         .join(p, li["l_partkey"] == p["p_partkey"], "inner"))
+         .join(p, li["l_showpart"] == p["p_partkey"], "inner"))
     return j.select(
         show_title_of_part().alias("show_title"),
         F.col("p_brand").alias("show_director"),

@@ -309,3 +309,8 @@ ORDER BY title DESC NULLS LAST, show_id ASC LIMIT 5"""
 ORACLE["title_counts_raw"] = with_(CATALOG_RAW) + """
 SELECT title, count(*) AS count FROM catalog_raw GROUP BY title
 ORDER BY count DESC, title ASC NULLS FIRST LIMIT 5"""
+
+ORACLE["shows_table_hot"] = ORACLE["shows_table"].replace(
+    "FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "FROM lineitem JOIN part ON (CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END) = p_partkey")
+assert ORACLE["shows_table_hot"] != ORACLE["shows_table"]
