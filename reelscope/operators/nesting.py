@@ -21,14 +21,44 @@ from reelscope.schemas import COMMENT, SUBMISSION_FIELDS
 MAX_PER_ROW = 50_000
 
 
+# Buckets of the hot-key sketch (a bounded table: broadcast is safe).
+SKETCH_BUCKETS = 1 << 16
+
+
+def _hot_keys(tagged: DataFrame, keys: list[str], max_per_row: int, max_broadcast_rows: int):
+    """Keys with more than ``max_per_row`` rows, as ``(side, count)``.
+
+    First a one-hash count sketch: rows per ``pmod(hash(keys), 65536)``,
+    map-side combined to at most 65,536 rows per task. A key never exceeds
+    its bucket, so if no bucket is heavy there is no hot key and nothing
+    else runs. Otherwise keys are counted exactly, only over rows of heavy
+    buckets (a semi-join with at most 65,536 bucket ids, broadcast).
+    Both passes read only the key columns. When the input is so large that
+    most buckets exceed ``max_per_row``, the sketch degenerates to the
+    exact count over all keys (one extra key-only scan).
+    """
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(SKETCH_BUCKETS))
+    with_b = tagged.withColumn("__b", bucket)
+    heavy = (with_b.groupBy("__b").agg(F.count(F.lit(1)).alias("__bn"))
+             .where(F.col("__bn") > max_per_row).select("__b"))
+    heavy, n_heavy = checked_broadcast(heavy, SKETCH_BUCKETS)
+    if n_heavy == 0:
+        return None, 0
+    hot = (with_b.join(heavy, "__b", "left_semi")
+           .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > max_per_row)
+           .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n"))
+    return checked_broadcast(hot, max_broadcast_rows)
+
+
 def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: Column,
                     out: str, max_per_row: int | None = MAX_PER_ROW,
                     sort: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``groupBy(keys).agg(collect_list(value))`` with bounded rows.
 
-    Returns ``keys + [part, n_parts, out]``. Group sizes are counted first
-    (partial aggregation, cheap) and only the **hot** keys — more than
-    ``max_per_row`` elements — are kept and materialized. Elements of a hot
+    Returns ``keys + [part, n_parts, out]``. **Hot** keys — more than
+    ``max_per_row`` elements — are found first (``_hot_keys``: a bounded
+    count sketch, then exact counts only where the sketch is heavy). Elements of a hot
     key go to part ``pmod(hash(id), ceil(n / max_per_row))``; all others to
     part 0. The hot-key table is broadcast only after its row count is
     checked (else a shuffle join, AQE splitting skew), and skipped entirely
@@ -41,10 +71,7 @@ def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: C
     tagged = df.select(*keys, value.alias("__v"), id_col.alias("__id"))
     n_hot = 0
     if max_per_row is not None:
-        hot = (tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-               .where(F.col("__n") > max_per_row)
-               .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n"))
-        hot, n_hot = checked_broadcast(hot, max_broadcast_rows)
+        hot, n_hot = _hot_keys(tagged, keys, max_per_row, max_broadcast_rows)
     if n_hot == 0:
         parts = tagged.withColumns({"part": F.lit(0), "n_parts": F.lit(1)})
     else:
