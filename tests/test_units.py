@@ -255,7 +255,7 @@ def test_checks_semantics(spark, raw):
 
 
 def test_schema_profile_exact_and_approx(raw):
-    p = {r.column_name: r for r in schema_profile(raw).collect()}
+    p = {r.column_name: r for r in schema_profile(raw, exact=True).collect()}
     assert p["title"].n_nulls == 1 and p["title"].n_distinct == 5 and p["title"].n_rows == 8
     a = {r.column_name: r for r in schema_profile(raw, exact=False).collect()}
     assert a["title"].n_nulls == 1 and a["title"].n_distinct == 5
