@@ -314,3 +314,5 @@ ORACLE["shows_table_hot"] = ORACLE["shows_table"].replace(
     "FROM lineitem JOIN part ON l_partkey = p_partkey",
     "FROM lineitem JOIN part ON (CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END) = p_partkey")
 assert ORACLE["shows_table_hot"] != ORACLE["shows_table"]
+
+ORACLE["comments_per_show_bucketed"] = ORACLE["comments_per_show"]

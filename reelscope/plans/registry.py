@@ -446,3 +446,21 @@ def title_counts_raw(spark, sf_dir):
     as one group), ties by title."""
     counts = explore.group_count(fx.catalog_raw(spark, sf_dir), ["title"])
     return explore.top_k(counts, [F.desc("count"), F.asc_nulls_first("title")], 5)
+
+
+@query
+def comments_per_show_bucketed(spark, sf_dir):
+    """K3 + J2 co-located: catalog and comments stored as tables bucketed on
+    the show key with the same bucket count; the per-show aggregation and
+    the join then read bucket-aligned files without any shuffle."""
+    import uuid
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_bucketed
+    tag = uuid.uuid4().hex[:8]
+    cat_t, com_t = f"catalog_bk_{tag}", f"comments_bk_{tag}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(fx.catalog_clean(spark, sf_dir), cat_t, scratch_path(spark, cat_t),
+                   buckets, ["title", "director"])
+    write_bucketed(fx.comments_flat(spark, sf_dir), com_t, scratch_path(spark, com_t),
+                   buckets, ["show_title", "show_director"])
+    return shows_ops.comments_per_show(spark.table(cat_t), spark.table(com_t))

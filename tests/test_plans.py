@@ -24,3 +24,17 @@ def test_channel_filter_reaches_scan(spark):
     df = E.queries()["channel_mentions"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[In\(source", plan)
+
+
+def test_bucketed_join_needs_no_shuffle(spark):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["comments_per_show_bucketed"](spark, SF_SMALL)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
