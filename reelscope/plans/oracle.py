@@ -316,3 +316,20 @@ ORACLE["shows_table_hot"] = ORACLE["shows_table"].replace(
 assert ORACLE["shows_table_hot"] != ORACLE["shows_table"]
 
 ORACLE["comments_per_show_bucketed"] = ORACLE["comments_per_show"]
+
+ORACLE["dup_show_submissions"] = with_(SUBMISSIONS[1:], COMMENTS) + """
+SELECT show_title, count(show_title) AS qty FROM (
+  SELECT s.submission_id, c.show_title, c.show_director
+  FROM landed_submissions s LEFT JOIN (
+    SELECT DISTINCT submission_id, show_title, show_director FROM landed_comments) c
+  ON s.submission_id = c.submission_id)
+GROUP BY show_title HAVING count(show_title) > 1"""
+
+ORACLE["missing_descriptions"] = with_(CATALOG_RAW) + """
+SELECT show_id, title, director FROM catalog_raw WHERE title IS NOT NULL AND description IS NULL"""
+
+ORACLE["missing_keys_after_dedup"] = with_(CATALOG_RAW) + """
+SELECT show_id, title, director FROM (
+  SELECT *, row_number() OVER (PARTITION BY title, director
+           ORDER BY TRY_CAST(show_id AS BIGINT) NULLS LAST, show_id NULLS LAST) AS rn
+  FROM catalog_raw) WHERE rn = 1 AND (title IS NULL OR director IS NULL)"""

@@ -464,3 +464,34 @@ def comments_per_show_bucketed(spark, sf_dir):
     write_bucketed(fx.comments_flat(spark, sf_dir), com_t, scratch_path(spark, com_t),
                    buckets, ["show_title", "show_director"])
     return shows_ops.comments_per_show(spark.table(cat_t), spark.table(com_t))
+
+
+# ------------------------------------------------------- notebook checks
+
+@query
+def dup_show_submissions(spark, sf_dir):
+    """A2 F5 O1 on submissions: shows found in more than one submission,
+    most first (the exploration cell on collected submissions)."""
+    # one row per (submission, show) whatever the number of parts
+    subs = _nested(spark, sf_dir).select("submission_id", "show_title", "show_director") \
+        .dropDuplicates()
+    counts = explore.having(explore.count_of(subs, "show_title", "qty"), F.col("qty") > 1)
+    return counts.orderBy(F.desc("qty"), F.asc("show_title"))
+
+
+@query
+def missing_descriptions(spark, sf_dir):
+    """catalog rows with a title but no description."""
+    return explore.missing(fx.catalog_raw(spark, sf_dir), present=["title"],
+                           absent=["description"]).select("show_id", "title", "director")
+
+
+@query
+def missing_keys_after_dedup(spark, sf_dir):
+    """F2 (or): rows without title or director that survive the
+    reference's dedup (null keys are equal to each other there)."""
+    from reelscope.operators.cleaning import dedup_keep, show_id_order
+    raw = fx.catalog_raw(spark, sf_dir)
+    deduped = dedup_keep(raw, ["title", "director"], show_id_order())
+    return explore.missing(deduped, any_absent=["title", "director"]) \
+        .select("show_id", "title", "director")
