@@ -333,3 +333,12 @@ SELECT show_id, title, director FROM (
   SELECT *, row_number() OVER (PARTITION BY title, director
            ORDER BY TRY_CAST(show_id AS BIGINT) NULLS LAST, show_id NULLS LAST) AS rn
   FROM catalog_raw) WHERE rn = 1 AND (title IS NULL OR director IS NULL)"""
+
+ORACLE["dropped_shows"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """
+SELECT show_id, title, director, reason FROM (
+  SELECT k.show_id, k.title, k.director,
+         CASE WHEN NOT EXISTS (SELECT 1 FROM comments_flat c
+                               WHERE c.show_title = k.title AND c.show_director = k.director)
+              THEN 'no_comments'
+              WHEN k."cast" IS NULL THEN 'no_cast' END AS reason
+  FROM catalog_clean k) WHERE reason IS NOT NULL"""

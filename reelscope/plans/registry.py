@@ -495,3 +495,10 @@ def missing_keys_after_dedup(spark, sf_dir):
     deduped = dedup_keep(raw, ["title", "director"], show_id_order())
     return explore.missing(deduped, any_absent=["title", "director"]) \
         .select("show_id", "title", "director")
+
+
+@query
+def dropped_shows(spark, sf_dir):
+    """J6 report: catalog rows missing from the shows table, and why."""
+    d = shows_ops.dropped_shows(fx.catalog_clean(spark, sf_dir), fx.comments_flat(spark, sf_dir))
+    return d.select("show_id", "title", "director", "reason")

@@ -185,6 +185,9 @@ def test_shows_join_on_title_and_director(spark, raw):
     assert per[("Quoted", "Q")] == 1
     missing = {r.title for r in shows_without_comments(cat, flat).collect()}
     assert missing == {"Part: Two"}
+    from reelscope.operators.shows import dropped_shows
+    why = {(r.show_id, r.reason) for r in dropped_shows(cat, flat).collect()}
+    assert why == {(7, "no_comments"), (4, "no_cast")}
 
 
 def test_assemble_shows_contract(spark, raw):
