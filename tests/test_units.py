@@ -211,6 +211,7 @@ def test_conform_shows_rejects_null_title(spark):
             df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
     with pytest.raises(Exception, match="must not be null"):
         conform_shows(df).collect()
+    assert conform_shows(df, on_violation="drop").count() == 0
 
 
 def test_fanout_sizes_are_actors_times_comments(spark, raw):
