@@ -61,9 +61,9 @@ def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: C
     count sketch, then exact counts only where the sketch is heavy). Elements of a hot
     key go to part ``pmod(hash(id), ceil(n / max_per_row))``; all others to
     part 0. The hot-key table is broadcast only after its row count is
-    checked (else a shuffle join, AQE splitting skew), and skipped entirely
-    when empty, so the common case costs one shuffle: the gather on
-    (keys, part), which spreads a hot key over many tasks.
+    checked (else a shuffle join, AQE splitting skew). Without hot keys the
+    gather is one ``groupBy(keys)`` (one shuffle); with them, one shuffle
+    on (keys, part), which spreads a hot key over many tasks.
     ``max_per_row=None`` gathers whole groups (only for inputs whose groups
     are bounded by construction).
     """
@@ -72,25 +72,29 @@ def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: C
     n_hot = 0
     if max_per_row is not None:
         hot, n_hot = _hot_keys(tagged, keys, max_per_row, max_broadcast_rows)
-    if n_hot == 0:
-        parts = tagged.withColumns({"part": F.lit(0), "n_parts": F.lit(1)})
-    else:
-        cond = None
-        for i, k in enumerate(keys):
-            c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
-            cond = c if cond is None else cond & c
-        joined = tagged.join(hot, cond, "left").select(*keys, "__v", "__id", "__n")
-        n_parts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("__n"), F.lit(0))
-                                              / F.lit(max_per_row))).cast("int")
-        parts = joined.withColumns({
-            "n_parts": n_parts,
-            "part": F.pmod(F.xxhash64("__id"), n_parts).cast("int"),
-        })
-    parts = parts.repartition(*keys, "part")
     arr = F.collect_list("__v")
     if sort:
         arr = F.array_sort(arr)
-    return parts.groupBy(*keys, "part").agg(F.max("n_parts").alias("n_parts"), arr.alias(out))
+    if n_hot == 0:
+        # no hot key: one shuffle on the keys, one row per key
+        return (tagged.groupBy(*keys).agg(arr.alias(out))
+                .select(*keys, F.lit(0).alias("part"), F.lit(1).alias("n_parts"), out))
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        cond = c if cond is None else cond & c
+    joined = tagged.join(hot, cond, "left").select(*keys, "__v", "__id", "__n")
+    n_parts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("__n"), F.lit(0))
+                                          / F.lit(max_per_row))).cast("int")
+    parts = joined.withColumns({
+        "n_parts": n_parts,
+        "part": F.pmod(F.xxhash64("__id"), n_parts).cast("int"),
+    })
+    # explicit: a join output partitioned on the keys alone must not satisfy
+    # the gather, or a hot key would land in one task
+    parts = parts.repartition(*keys, "part")
+    return (parts.groupBy(*keys, "part").agg(F.max("n_parts").alias("n_parts"), arr.alias(out))
+            .select(*keys, "part", "n_parts", out))
 
 
 def comment_struct(prefix: str = "") -> Column:
