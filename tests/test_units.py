@@ -296,3 +296,17 @@ def test_rank_mentions_uses_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("s"))
     plan = rank_mentions(df, F.col("s"), ["g"], 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "k string, id long")
+    out = bounded_collect(empty, ["k"], F.col("id"), F.col("id").cast("string"), "xs",
+                          max_per_row=10)
+    assert out.count() == 0 and out.columns == ["k", "part", "n_parts", "xs"]
+    assert run_checks(spark, []).count() == 0
+    phrases = spark.createDataFrame([], "item_id int, title string")
+    posts = spark.createDataFrame([(1, "s", "a b", 1)], "post_id int, source string, text string, score int")
+    assert match_mentions(phrases, posts, ["item_id"]).count() == 0
+    no_posts = spark.createDataFrame([], "post_id int, source string, text string, score int")
+    some = spark.createDataFrame([(1, "a b")], "item_id int, title string")
+    assert match_mentions(some, no_posts, ["item_id"]).count() == 0
