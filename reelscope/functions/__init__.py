@@ -1,13 +1,17 @@
 """Column-level building blocks (built-in Spark expressions only)."""
 
-from reelscope.functions.text import (normalize_text, parse_channels, strip_quotes,
-                                      title_key, tokens)
+from reelscope.functions.text import (normalize_text, padded, parse_channels, strip_quotes,
+                                      title_key, tokens, word_tokens)
 from reelscope.functions.casts import (epoch_to_timestamp, parse_added_date, safe_int,
                                        safe_long, to_id)
-from reelscope.functions.synthetic import hash_int, random_instant, random_letters
+from reelscope.functions.synthetic import (bounded, comment_hex, digest, hash60, hash_int,
+                                           instant_from, letters_from_hex, random_instant,
+                                           random_letters)
 
 __all__ = [
-    "normalize_text", "parse_channels", "strip_quotes", "title_key", "tokens",
+    "normalize_text", "padded", "parse_channels", "strip_quotes", "title_key", "tokens",
+    "word_tokens",
     "epoch_to_timestamp", "parse_added_date", "safe_int", "safe_long", "to_id",
-    "hash_int", "random_instant", "random_letters",
+    "bounded", "comment_hex", "digest", "hash60", "hash_int", "instant_from",
+    "letters_from_hex", "random_instant", "random_letters",
 ]
