@@ -293,7 +293,7 @@ SELECT doc_id, channel FROM (
 
 ORACLE["mentions_per_day"] = with_(CATALOG_CLEAN) + """
 SELECT CAST(date_trunc('day', e.ts) AS VARCHAR) AS day, k.show_id, k.title, count(*) AS n_mentions,
-       sum(CAST(round(e.value * 100) AS BIGINT)) AS score_cents
+       CAST(sum(CAST(round(e.value * 100) AS BIGINT)) AS BIGINT) AS score_cents
 FROM events e JOIN catalog_clean k ON e.user_id = k.show_id
 GROUP BY date_trunc('day', e.ts), k.show_id, k.title"""
 

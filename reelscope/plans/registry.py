@@ -193,7 +193,8 @@ def generated_comments(spark, sf_dir):
     return flat.groupBy("show_title", "show_director", "source", "sub_id", "sub_score").agg(
         F.count(F.lit(1)).alias("n_comments"),
         F.sum(F.length("body")).cast("bigint").alias("body_chars"),
-        F.min(F.length("body")).alias("min_body"), F.max(F.length("body")).alias("max_body"),
+        F.min(F.length("body")).cast("bigint").alias("min_body"),
+        F.max(F.length("body")).cast("bigint").alias("max_body"),
         F.min("created_utc").cast("string").alias("first_created"),
         F.max("created_utc").cast("string").alias("last_created"),
         digest(key).alias("comments_digest"))
