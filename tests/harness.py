@@ -48,6 +48,12 @@ def rows_of(columns, rows):
     return [tuple(norm(r[i]) for i in order) for r in rows], [columns[i] for i in order]
 
 
+# Spark simple type → DuckDB type name, for the column-type check
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -59,18 +65,26 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t2 = time.time()
     s_norm, s_cols = rows_of(sdf.columns, srows)
     d_norm, d_cols = rows_of(dcols, drows)
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    type_diff = {f.name: (f.dataType.simpleString(), d_types.get(f.name))
+                 for f in sdf.schema.fields
+                 if SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                 != d_types.get(f.name)}
     ok_cols = s_cols == d_cols
     ok_n = len(s_norm) == len(d_norm)
     ok_v = Counter(s_norm) == Counter(d_norm)
     info = {"name": name, "rows": len(s_norm), "oracle_rows": len(d_norm), "cols": ok_cols,
-            "values": ok_v, "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
+            "types": not type_diff, "values": ok_v, "spark_s": round(t1 - t0, 2),
+            "duck_s": round(t2 - t1, 2)}
+    if type_diff:
+        info["type_diff"] = type_diff
     if not ok_cols:
         info["spark_cols"], info["oracle_cols"] = s_cols, d_cols
     if ok_cols and not ok_v:
         a, b = Counter(s_norm), Counter(d_norm)
         info["spark_only"] = list((a - b).elements())[:3]
         info["oracle_only"] = list((b - a).elements())[:3]
-    info["ok"] = ok_cols and ok_n and ok_v
+    info["ok"] = ok_cols and ok_n and ok_v and not type_diff
     return info
 
 
