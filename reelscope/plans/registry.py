@@ -23,8 +23,18 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register ``fn``. Times in this pipeline are epoch-based, so every
+    query runs with the session zone pinned to UTC (the jobs' contract,
+    see ``session.BASE_CONF``); naive timestamps then read as UTC."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -410,7 +420,9 @@ def channels(spark, sf_dir):
 def mentions_per_day(spark, sf_dir):
     """Mentions per show per day (batch form of the stream function)."""
     from reelscope.streaming.mentions import mentions_per_window
-    ev = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    # windows over the naive (wall-clock) timestamps: day boundaries are
+    # those of the stored values, whatever the session zone
+    ev = fx.table(spark, sf_dir, "events")
     out = mentions_per_window(ev, fx.catalog_clean(spark, sf_dir), "1 day")
     return out.select(F.col("w.start").cast("string").alias("day"), "show_id", "title",
                       "n_mentions", "score_cents")
