@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.operators.sizing import MAX_BROADCAST_ROWS, checked_broadcast, materialize
+from reelscope.operators.sizing import MAX_BROADCAST_ROWS, checked_broadcast
 from reelscope.schemas import COMMENT, SUBMISSION_FIELDS
 
 # Default upper bound (in expectation) of elements gathered into one row.
@@ -41,10 +41,9 @@ def _hot_keys(tagged: DataFrame, keys: list[str], max_per_row: int, max_broadcas
     with_b = tagged.withColumn("__b", bucket)
     heavy = (with_b.groupBy("__b").agg(F.count(F.lit(1)).alias("__bn"))
              .where(F.col("__bn") > max_per_row).select("__b"))
-    if heavy.count() == 0:      # the common case: one small job, nothing stored
+    heavy, n_heavy = checked_broadcast(heavy, SKETCH_BUCKETS)
+    if n_heavy == 0:
         return None, 0
-    # at most SKETCH_BUCKETS ids: a proven bound, so the broadcast is safe
-    heavy = F.broadcast(materialize(heavy))
     hot = (with_b.join(heavy, "__b", "left_semi")
            .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
            .where(F.col("__n") > max_per_row)
