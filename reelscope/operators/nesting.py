@@ -41,6 +41,8 @@ def _hot_keys(tagged: DataFrame, keys: list[str], max_per_row: int, max_broadcas
     with_b = tagged.withColumn("__b", bucket)
     heavy = (with_b.groupBy("__b").agg(F.count(F.lit(1)).alias("__bn"))
              .where(F.col("__bn") > max_per_row).select("__b"))
+    # materialize, then count: the sketch pass runs once even when heavy
+    # buckets follow (counting first would rerun it in exactly that case)
     heavy, n_heavy = checked_broadcast(heavy, SKETCH_BUCKETS)
     if n_heavy == 0:
         return None, 0
