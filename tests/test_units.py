@@ -244,7 +244,7 @@ def test_generator_is_partition_invariant(spark, raw):
     # both rows of a show carry the same list, in a fixed order
     by_show = {}
     for r in shared:
-        by_show.setdefault(r.show_title, []).append([c.body for c in r.comments])
+        by_show.setdefault((r.show_title, r.show_director), []).append([c.body for c in r.comments])
     assert all(len(v) == 2 and v[0] == v[1] for v in by_show.values())
     nulls = cat.limit(1).withColumn("director", F.lit(None).cast("string"))
     assert generate_comments(nulls, n=3, shared_list=True).count() == 2
