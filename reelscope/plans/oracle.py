@@ -342,3 +342,5 @@ SELECT show_id, title, director, reason FROM (
               THEN 'no_comments'
               WHEN k."cast" IS NULL THEN 'no_cast' END AS reason
   FROM catalog_clean k) WHERE reason IS NOT NULL"""
+
+ORACLE["mentions_per_day_stream"] = ORACLE["mentions_per_day"]

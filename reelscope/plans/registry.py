@@ -515,3 +515,18 @@ def dropped_shows(spark, sf_dir):
     """J6 report: catalog rows missing from the shows table, and why."""
     d = shows_ops.dropped_shows(fx.catalog_clean(spark, sf_dir), fx.comments_flat(spark, sf_dir))
     return d.select("show_id", "title", "director", "reason")
+
+
+@query
+def mentions_per_day_stream(spark, sf_dir):
+    """T2 as a stream: the events table consumed with availableNow, daily
+    windows in update mode with a watermark, micro-batches appended to a
+    sink, latest version per window read back."""
+    from reelscope.session import scratch_path
+    from reelscope.streaming.mentions import read_window_sink, run_window_stream
+    base = scratch_path(spark, "windows")
+    run_window_stream(spark, sf_dir, fx.catalog_clean(spark, sf_dir), f"{base}/sink",
+                      f"{base}/checkpoint")
+    out = read_window_sink(spark, f"{base}/sink")
+    return out.select(F.col("w.start").cast("string").alias("day"), "show_id", "title",
+                      "n_mentions", "score_cents")

@@ -1,6 +1,8 @@
 """Structured Streaming: mention alerts (T1) and per-window counts."""
 
 from reelscope.streaming.mentions import (mention_alerts, mentions_per_window,
-                                          run_alert_stream, stream_events)
+                                          read_window_sink, run_alert_stream,
+                                          run_window_stream, stream_events)
 
-__all__ = ["mention_alerts", "mentions_per_window", "run_alert_stream", "stream_events"]
+__all__ = ["mention_alerts", "mentions_per_window", "read_window_sink", "run_alert_stream",
+           "run_window_stream", "stream_events"]
