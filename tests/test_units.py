@@ -317,3 +317,19 @@ def test_empty_inputs(spark):
     no_posts = spark.createDataFrame([], "post_id int, source string, text string, score int")
     some = spark.createDataFrame([(1, "a b")], "item_id int, title string")
     assert match_mentions(some, no_posts, ["item_id"]).count() == 0
+
+
+def test_scale_conf_sizes_from_input():
+    from reelscope.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    small = scale_conf(1024 ** 3, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64  # at least 3 × cores
+    assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 ** 2)
+
+
+def test_contract_violations_report(spark):
+    from reelscope.operators.shows import shows_contract_violations
+    df = spark.createDataFrame([("a", "Movie"), (None, "Movie"), ("b", None)],
+                               "title string, type string")
+    assert shows_contract_violations(df).count() == 2
