@@ -6,13 +6,14 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from reelscope.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
              "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_forbidden_operators(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
