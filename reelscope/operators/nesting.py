@@ -10,6 +10,7 @@ back every element: nothing is dropped or capped.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def bounded_collect(df: DataFrame, keys: Sequence[str], value: Column, id_col: C
         hot, n_hot = _hot_keys(tagged, keys, max_per_row, max_broadcast_rows)
     arr = F.collect_list("__v")
     if sort:
-        arr = F.array_sort(arr)
+        arr = F.sort_array(arr)
     if n_hot == 0:
         # no hot key: one shuffle on the keys, one row per key
         return (tagged.groupBy(*keys).agg(arr.alias(out))
@@ -111,31 +112,36 @@ def nest_comments(submissions: DataFrame, comments: DataFrame,
     show_title, show_director`` and the comment fields. ``submissions``
     holds one row per submission; if it has the show keys too (one row per
     (show, thread), as a search produces) they are part of the match,
-    otherwise they come from the comments. Output: SUBMISSION schema plus
-    ``part``/``n_parts``; a submission without comments keeps one row with
-    an empty array.
+    otherwise they come from the comments. Output: SUBMISSION schema; a
+    submission without comments keeps one row with an empty array.
     """
     keys = ["submission_id", "show_title", "show_director"]
     nested = bounded_collect(comments, keys, comment_struct(), F.col("comment_id"),
                              "comments", max_per_row)
-    if "show_title" in submissions.columns:
-        subs = submissions.select(*[f.name for f in SUBMISSION_FIELDS.fields])
-        n = nested.select(*[F.col(k).alias(f"__{k}") for k in keys], "comments", "part", "n_parts")
-        cond = None
-        for k in keys:
-            c = subs[k].eqNullSafe(n[f"__{k}"])
-            cond = c if cond is None else cond & c
-        joined = subs.join(n, cond, "left")
-    else:
-        sub_cols = [f.name for f in SUBMISSION_FIELDS.fields
-                    if f.name not in ("show_title", "show_director")]
-        joined = submissions.select(*sub_cols).join(nested, "submission_id", "left")
-    return joined.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SUBMISSION_FIELDS.fields],
-        F.coalesce("comments", F.array().cast(f"array<{COMMENT.simpleString()}>")).alias("comments"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
-    )
+    tagged = "show_title" in submissions.columns
+    match = keys if tagged else keys[:1]
+    own = [f.name for f in SUBMISSION_FIELDS.fields if tagged or f.name not in keys[1:]]
+    subs = submissions.select(*own)
+    n = nested.select(*[F.col(k).alias(f"__{k}") for k in keys], "comments", "part", "n_parts")
+    # An inner join, both sides of which AQE may split: the parts of a hot
+    # thread stay apart. Submissions without comments come from their keys.
+    joined = subs.join(n, _same(subs, n, match), "inner")
+    if not tagged:
+        joined = joined.select("*", *[F.col(f"__{k}").alias(k) for k in keys[1:]])
+    seen = comments.groupBy(*match).agg(F.lit(True).alias("__seen"))
+    seen = seen.select(*[F.col(k).alias(f"__{k}") for k in match])
+    bare = subs.join(seen, _same(subs, seen, match), "left_anti")
+    if not tagged:
+        bare = bare.select("*", *[F.lit(None).cast("string").alias(k) for k in keys[1:]])
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SUBMISSION_FIELDS.fields]
+    none = F.array().cast(f"array<{COMMENT.simpleString()}>")
+    return joined.select(*fields, "comments", "part", "n_parts").unionByName(
+        bare.select(*fields, none.alias("comments"), F.lit(0).alias("part"), F.lit(1).alias("n_parts")))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys (null equals null); the right side's carry two underscores."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
 
 
 def flatten_comments(submissions: DataFrame,

@@ -54,8 +54,13 @@ SUBMISSION_FIELDS = T.StructType([
     T.StructField("link", S, True),
 ])
 
+# A nested row may be one of several parts of its submission or show: part 0
+# to n_parts - 1, each with some of the comments. Always stored, so readers
+# can count submissions (part = 0) whatever the size of a row.
+PARTS = [T.StructField("part", I, False), T.StructField("n_parts", I, False)]
+
 SUBMISSION = T.StructType(
-    SUBMISSION_FIELDS.fields + [T.StructField("comments", T.ArrayType(COMMENT, True), True)])
+    SUBMISSION_FIELDS.fields + [T.StructField("comments", T.ArrayType(COMMENT, True), True)] + PARTS)
 
 SHOW_COMMENT = T.StructType([
     T.StructField("body", S, True),
@@ -79,9 +84,4 @@ SHOWS = T.StructType([
     T.StructField("description", S, True),
     T.StructField("comments", T.ArrayType(SHOW_COMMENT, True), True),
     T.StructField("actors", T.ArrayType(ACTOR, True), True),
-])
-
-# Flat comment: submission fields the shows job needs + comment fields.
-FLAT_COMMENT_COLUMNS = ["show_title", "show_director", "source", "title", "description",
-                        "author", "comment_id", "body", "created_utc", "score",
-                        "parent_id", "submission_id"]
+] + PARTS)

@@ -49,27 +49,45 @@ def test_hot_token_matches_are_complete(spark):
     assert {r.item_id: r["count"] for r in got} == {1: 300, 2: 1, 3: 1}
 
 
-def test_streaming_window_counts(spark, tmpdir_path):
-    import os
-    from reelscope.plans import fixtures as fx
-    from reelscope.streaming.mentions import mentions_per_window, stream_events
-    from tests.conftest import SF_SMALL
-    cat = fx.catalog_clean(spark, SF_SMALL)
-    stream = mentions_per_window(stream_events(spark, SF_SMALL), cat, "1 day", watermark="1 day")
-    q = (stream.select(F.col("w.start").alias("day"), "show_id", "n_mentions")
-         .writeStream.format("parquet").outputMode("append")
-         .option("path", os.path.join(tmpdir_path, "out"))
-         .option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.read.parquet(os.path.join(tmpdir_path, "out"))
-    ev = fx.table(spark, SF_SMALL, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    batch = mentions_per_window(ev, cat, "1 day").select(
-        F.col("w.start").alias("day"), "show_id", "n_mentions")
-    # append mode emits a window once the watermark passes its end: every
-    # emitted window equals the batch result
-    assert got.count() > 0
-    assert got.exceptAll(batch).count() == 0
+def test_hot_thread_stays_spread(spark):
+    """A thread with a third of all comments is nested in bounded rows, which
+    stay apart in tasks, and the parts sum up whatever their size."""
+    from reelscope.operators.nesting import nest_comments
+    n = 30000
+    com = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 400).cast("string")))
+        .alias("submission_id"), F.lit("S").alias("show_title"), F.lit("D").alias("show_director"),
+        F.col("id").cast("string").alias("comment_id"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
+        F.lit(dt.datetime(2020, 1, 1)).alias("created_utc"), F.lit(1).alias("score"), F.lit("p").alias("parent_id"))
+    subs = com.select("submission_id").distinct().union(spark.createDataFrame([("quiet",)], "submission_id string"))
+    for c in ("source", "title", "description", "author", "distinguished", "link"):
+        subs = subs.withColumn(c, F.lit("x"))
+    subs = subs.withColumns({"created_utc": F.lit(dt.datetime(2020, 1, 1)), "score": F.lit(1),
+                             "spoiler": F.lit(False), "is_original_content": F.lit(False)})
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        counts = {}
+        for size in (500, 100000):
+            nested = nest_comments(subs, com, max_per_row=size)
+            rows = (nested.withColumn("task", F.spark_partition_id())
+                    .select("submission_id", "part", "n_parts", F.size("comments").alias("n"), "task").collect())
+            counts[size] = {s: sum(r.n for r in rows if r.submission_id == s) for s in {r.submission_id for r in rows}}
+            assert sum(r.part == 0 for r in rows) == len(counts[size])
+            if size == 500:
+                hot = [r for r in rows if r.submission_id == "hot"]
+                assert len(hot) == 20 and len({r.task for r in hot}) >= 3
+                assert max(r.n for r in hot) < 750
+        assert counts[500] == counts[100000] and counts[500]["hot"] == n // 3 and counts[500]["quiet"] == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_window_stream_exact_and_rerun_safe(spark, tmpdir_path):
@@ -81,11 +99,11 @@ def test_window_stream_exact_and_rerun_safe(spark, tmpdir_path):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     cat = fx.catalog_clean(spark, SF_SMALL)
     sink, ck = os.path.join(tmpdir_path, "sink"), os.path.join(tmpdir_path, "ck")
-    run_window_stream(spark, SF_SMALL, cat, sink, ck)
+    run_window_stream(spark, SF_SMALL, cat, sink, ck, glob="events*.parquet")
     first = read_window_sink(spark, sink)
     ev = fx.table(spark, SF_SMALL, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     batch = mentions_per_window(ev, cat).select("w", "show_id", "title", "n_mentions", "score_cents")
     assert first.count() == batch.count() > 0
     assert first.exceptAll(batch).count() == 0
-    run_window_stream(spark, SF_SMALL, cat, sink, ck)  # restart: nothing new
+    run_window_stream(spark, SF_SMALL, cat, sink, ck, glob="events*.parquet")  # restart: nothing new
     assert read_window_sink(spark, sink).exceptAll(batch).count() == 0
