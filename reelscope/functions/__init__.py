@@ -5,13 +5,12 @@ from reelscope.functions.text import (normalize_text, padded, parse_channels, st
 from reelscope.functions.casts import (epoch_to_timestamp, parse_added_date, safe_int,
                                        safe_long, to_id)
 from reelscope.functions.synthetic import (bounded, comment_hex, digest, hash60, hash_int,
-                                           instant_from, letters_from_hex, random_instant,
-                                           random_letters)
+                                           instant_from, letters_from_hex)
 
 __all__ = [
     "normalize_text", "padded", "parse_channels", "strip_quotes", "title_key", "tokens",
     "word_tokens",
     "epoch_to_timestamp", "parse_added_date", "safe_int", "safe_long", "to_id",
     "bounded", "comment_hex", "digest", "hash60", "hash_int", "instant_from",
-    "letters_from_hex", "random_instant", "random_letters",
+    "letters_from_hex",
 ]
