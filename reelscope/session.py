@@ -87,6 +87,9 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="reelscope-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
@@ -95,7 +98,33 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-path of the shared folder for one run."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+_scratch: list[str] = []
+
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique sub-path of the shared folder for one run, until
+    ``drop_scratch``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch paths that this process has handed out, and the
+    tables whose files are there. To be called when no result that reads
+    them is needed any more; returns their number."""
+    for t in spark.catalog.listTables():
+        if not t.isTemporary and any(_location(spark, t.name).endswith(p.split("://")[-1]) for p in _scratch):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    n = len(_scratch)
+    _scratch.clear()
+    return n
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from reelscope.session import get_session  # noqa: E402
+from reelscope.session import drop_scratch, get_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -18,6 +18,7 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelscope-test-ckpt-"))
     yield s
+    drop_scratch(s)
     s.stop()
 
 
