@@ -1,18 +1,28 @@
 """Mention stream jobs.
 
-T1 turns a stream of mention events into alerts: events are de-duplicated
-by id within a watermark (bounded state), joined to the static catalog
-(stream–static join; AQE/broadcast decided by Spark from the catalog's
-size), and appended to a sink. T2 counts mentions per show per window; the
-same function serves batch and streaming inputs.
+T1 turns streams into alerts: mention events about a catalog show, and
+posts that contain a show's title as an exact phrase. T2 counts mentions
+per show per window; the same function serves batch and streaming inputs.
+
+No row is lost for being late. Each micro-batch is processed on its own and
+written under its own ``batch_id`` directory, which a replay overwrites
+(exactly once, no operator state, no watermark). The sinks hold what every
+batch added; the read functions merge it: alerts by their id, windows by
+sums. Alerts older than ``lateness`` against earlier batches are kept and
+marked, so that they can be counted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelscope.operators.mentions import match_mentions
+from reelscope.operators.sizing import materialize
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -22,40 +32,40 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+POST_SCHEMA = "post_id bigint, source string, text string"
 
-def _static_side(df: DataFrame) -> DataFrame:
-    """The static side of a stream–static join, cut from its lineage once
-    (reliable checkpoint in the shared folder)."""
-    from reelscope.operators.sizing import materialize
-    return materialize(df)
+ALERTS = ("event_id bigint, ts timestamp, show_id bigint, title string, director string, "
+          "event_type string, score double, late boolean, batch_id bigint")
+WINDOWS = ("w struct<start: timestamp, end: timestamp>, show_id bigint, title string, "
+           "n_mentions bigint, score_cents bigint, batch_id bigint")
 
 
-def stream_events(spark: SparkSession, directory: str, glob: str = "events*.parquet",
-                  max_files: int | None = None) -> DataFrame:
-    """Mention events as a stream of Parquet files in ``directory``."""
-    r = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob))
+def stream_files(spark: SparkSession, schema, directory: str, glob: str = "*.parquet",
+                 max_files: int | None = None) -> DataFrame:
+    """Parquet files in ``directory`` as a stream."""
+    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(directory).withColumn("ts", F.col("ts").cast("timestamp"))
+    return r.parquet(directory)
+
+
+def stream_events(spark: SparkSession, directory: str, glob: str = "*.parquet",
+                  max_files: int | None = None) -> DataFrame:
+    """Mention events as a stream of Parquet files in ``directory``."""
+    events = stream_files(spark, EVENT_SCHEMA, directory, glob, max_files)
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def mention_alerts(events: DataFrame, catalog: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """One alert per distinct event about a catalog show."""
-    if events.isStreaming:
-        events = events.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
-    else:
-        events = events.dropDuplicates(["event_id"])
+def mention_alerts(events: DataFrame, catalog: DataFrame) -> DataFrame:
+    """One alert per distinct event about a catalog show (a batch)."""
     shows = catalog.select(F.col("show_id"), F.col("title"), F.col("director"))
-    j = events.join(shows, events["user_id"] == shows["show_id"], "inner")
+    j = events.dropDuplicates(["event_id"]).join(shows, F.col("user_id") == shows["show_id"], "inner")
     return j.select("event_id", "ts", "show_id", "title", "director", "event_type",
                     F.col("value").alias("score"))
 
 
-def mentions_per_window(events: DataFrame, catalog: DataFrame, window: str = "1 day",
-                        watermark: str | None = None) -> DataFrame:
+def mentions_per_window(events: DataFrame, catalog: DataFrame, window: str = "1 day") -> DataFrame:
     """Mentions and summed score (in cents) per show per window."""
-    if watermark and events.isStreaming:
-        events = events.withWatermark("ts", watermark)
     shows = catalog.select("show_id", "title")
     j = events.join(shows, events["user_id"] == shows["show_id"], "inner")
     return j.groupBy(F.window("ts", window).alias("w"), "show_id", "title").agg(
@@ -63,16 +73,19 @@ def mentions_per_window(events: DataFrame, catalog: DataFrame, window: str = "1
         F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("score_cents"))
 
 
-def run_alert_stream(spark: SparkSession, directory: str, catalog: DataFrame, sink: str,
-                     checkpoint: str, available_now: bool = True):
-    """Run T1 into a Parquet sink; ``available_now`` processes what is there
-    and stops (restartable from ``checkpoint``, exactly-once file sink).
-    The static catalog side is materialized once, so micro-batches do not
-    recompute it."""
-    catalog = _static_side(catalog.select("show_id", "title", "director"))
-    alerts = mention_alerts(stream_events(spark, directory), catalog)
-    w = (alerts.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+def _run(stream: DataFrame, per_batch: Callable[[DataFrame, int], DataFrame], schema: str,
+         sink: str, checkpoint: str, available_now: bool):
+    """Each micro-batch's ``per_batch`` rows into its own directory of ``sink``."""
+    def store(rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(sink))
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        store(per_batch(batch, batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+
+    spark = stream.sparkSession
+    store(spark.createDataFrame([], schema))  # no rows: the sink exists, whatever comes
+    w = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:
@@ -80,34 +93,70 @@ def run_alert_stream(spark: SparkSession, directory: str, catalog: DataFrame, si
     return q
 
 
+def run_alert_stream(spark: SparkSession, directory: str, catalog: DataFrame, sink: str,
+                     checkpoint: str, available_now: bool = True, lateness: str = "1 hour",
+                     max_files: int | None = None, glob: str = "*.parquet"):
+    """Run T1 on mention events. ``available_now`` processes what is there
+    and stops (restartable from ``checkpoint``). The static catalog side is
+    materialized once, so micro-batches do not recompute it."""
+    catalog = materialize(catalog.select("show_id", "title", "director"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+        earlier = spark.read.schema(ALERTS).parquet(sink).where(F.col("batch_id") < batch_id)
+        newest = earlier.agg(F.max("ts")).first()[0]
+        limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+        return mention_alerts(batch, catalog).withColumn("late", F.coalesce(F.col("ts") < limit, F.lit(False)))
+
+    return _run(stream_events(spark, directory, glob, max_files), per_batch, ALERTS, sink, checkpoint,
+                available_now)
+
+
+def read_alert_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """One row per event; of an event that several batches held, the first."""
+    rows = spark.read.schema(ALERTS).parquet(sink)
+    cols = [c for c in rows.columns if c != "event_id"]
+    first = rows.groupBy("event_id").agg(F.min_by(F.struct(*cols), "batch_id").alias("v"))
+    return first.select("event_id", *[F.col(f"v.{c}").alias(c) for c in cols if c != "batch_id"])
+
+
+def run_phrase_alert_stream(spark: SparkSession, directory: str, phrases: DataFrame,
+                            phrase_keys: Sequence[str], sink: str, checkpoint: str,
+                            phrase_col: str = "title", available_now: bool = True,
+                            max_files: int | None = None):
+    """T1 on texts: an alert per (phrase, post) where a post of the stream
+    contains the phrase as consecutive whole words (the batch search, over
+    each micro-batch)."""
+    phrases = materialize(phrases.select(*phrase_keys, phrase_col))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+        return match_mentions(phrases, batch, phrase_keys, phrase_col=phrase_col)
+
+    return _run(stream_files(spark, POST_SCHEMA, directory, max_files=max_files), per_batch,
+                _phrase_alerts(phrases, phrase_keys), sink, checkpoint, available_now)
+
+
+def _phrase_alerts(phrases: DataFrame, keys: Sequence[str]) -> str:
+    types = dict(phrases.dtypes)
+    return ", ".join([*(f"{k} {types[k]}" for k in keys), "post_id bigint", "source string", "batch_id bigint"])
+
+
+def read_phrase_alert_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """One row per (phrase, post), however often the post came."""
+    return spark.read.parquet(sink).drop("batch_id").distinct()
+
+
 def run_window_stream(spark: SparkSession, directory: str, catalog: DataFrame, sink: str,
-                      checkpoint: str, window: str = "1 day", watermark: str = "1 day",
-                      available_now: bool = True):
-    """T2 as a stream: update mode (window state evicted once the watermark
-    passes, so state stays bounded), each micro-batch appends its updated
-    window rows tagged with the batch id; ``read_window_sink`` keeps the
-    latest row per (window, show). A replayed batch rewrites identical rows,
-    so the read stays exact (idempotent sink). The static catalog side is
-    materialized once."""
-    catalog = _static_side(catalog.select("show_id", "title"))
-    counts = mentions_per_window(stream_events(spark, directory), catalog, window, watermark)
-
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
-
-    w = (counts.writeStream.outputMode("update").foreachBatch(append_batch)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+                      checkpoint: str, window: str = "1 day", available_now: bool = True,
+                      max_files: int | None = None, glob: str = "*.parquet"):
+    """T2 as a stream: each micro-batch adds its counts per (window, show).
+    The static catalog side is materialized once."""
+    catalog = materialize(catalog.select("show_id", "title"))
+    return _run(stream_events(spark, directory, glob, max_files),
+                lambda batch, _: mentions_per_window(batch, catalog, window), WINDOWS, sink, checkpoint,
+                available_now)
 
 
 def read_window_sink(spark: SparkSession, sink: str) -> DataFrame:
-    """Latest version of every (window, show) row written by
-    ``run_window_stream`` (map-side combined ``max_by``)."""
-    rows = spark.read.parquet(sink)
-    latest = rows.groupBy("w", "show_id", "title").agg(
-        F.max_by(F.struct("n_mentions", "score_cents"), "batch_id").alias("v"))
-    return latest.select("w", "show_id", "title", "v.n_mentions", "v.score_cents")
+    """Totals of every (window, show) over all batches (map-side combined)."""
+    return spark.read.schema(WINDOWS).parquet(sink).groupBy("w", "show_id", "title").agg(
+        F.sum("n_mentions").alias("n_mentions"), F.sum("score_cents").alias("score_cents"))
