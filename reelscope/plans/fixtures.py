@@ -15,7 +15,7 @@ these views map it onto those inputs so every query reads whole tables:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelscope.operators.cleaning import clean_catalog
@@ -82,18 +82,26 @@ def landed_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def show_title_of_part() -> "F.Column":
+    """The title under which comments name a show; those on every 61st part
+    use an old title that the catalog does not have."""
     k = F.col("p_partkey")
-    return (F.when((k % 7 == 0) & (k % 5 != 0), F.concat("p_name", F.lit(": "), "p_type"))
+    return (F.when(k % 61 == 0, F.concat("p_name", F.lit(" (old title)")))
+            .when((k % 7 == 0) & (k % 5 != 0), F.concat("p_name", F.lit(": "), "p_type"))
             .otherwise(F.col("p_name")))
 
 
-def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per comment (line), tagged with the show it is about."""
+def landed_comments(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """One row per comment (line), tagged with the show it is about. ``hot``
+    moves a third of all comments (l_orderkey divisible by 3) into the thread
+    of order 1, about the show of part 1."""
     li = table(spark, sf_dir, "lineitem")
+    third = F.lit(hot) & (F.col("l_orderkey") % 3 == 0)
+    li = li.withColumns({"__thread": F.when(third, F.lit(1)).otherwise(F.col("l_orderkey")),
+                         "__part": F.when(third, F.lit(1)).otherwise(F.col("l_partkey"))})
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
+    j = li.join(p, li["__part"] == p["p_partkey"], "inner")
     return j.select(
-        _s("l_orderkey").alias("submission_id"),
+        _s("__thread").alias("submission_id"),
         show_title_of_part().alias("show_title"),
         F.col("p_brand").alias("show_director"),
         F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"),
@@ -101,7 +109,7 @@ def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("l_returnflag", "l_linestatus", F.lit(" "), "p_name").alias("body"),
         F.col("l_shipdate").cast("timestamp").alias("created_utc"),
         F.floor("l_quantity").try_cast("int").alias("score"),
-        F.concat(F.lit("t3_"), _s("l_orderkey")).alias("parent_id"),
+        F.concat(F.lit("t3_"), _s("__thread")).alias("parent_id"),
     )
 
 
@@ -153,3 +161,42 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelscope.functions.text import title_key
     return table(spark, sf_dir, "benchmark").select("item_id", title_key("text").alias("title"))
 
+
+
+def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discussion threads with text: documents, as landed submissions."""
+    from reelscope.schemas import SUBMISSION_FIELDS
+    d = table(spark, sf_dir, "documents")
+    own = {"submission_id": _s("doc_id"), "source": F.col("source"), "title": F.concat(F.lit("Post "), _s("doc_id")),
+           "description": F.col("text"), "score": F.col("n_chars")}
+    return d.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in SUBMISSION_FIELDS.fields if f.name not in ("show_title", "show_director")])
+
+
+def thread_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments on those threads: the turns of conversations, each on the
+    document of its conversation's number."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(
+        F.concat_ws("-", _s("conv_id"), _s("turn")).alias("comment_id"), F.col("text").alias("body"),
+        F.timestamp_seconds(F.col("conv_id") * 1000 + F.col("turn")).alias("created_utc"),
+        F.col("turn").cast("int").alias("score"), F.col("role").alias("parent_id"),
+        _s("conv_id").alias("submission_id"))
+
+
+def searched_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searched catalog: per benchmark item its text and its first word, so
+    long titles and titles of one, often common, word."""
+    b = table(spark, sf_dir, "benchmark")
+    long = b.select(F.col("text").alias("title"), F.concat(F.lit("long "), _s("item_id")).alias("director"))
+    word = b.select(F.regexp_extract("text", r"^\s*(\S+)", 1).alias("title"),
+                    F.concat(F.lit("word "), _s("item_id")).alias("director"))
+    return long.unionByName(word)
+
+
+def newest_first(df: DataFrame, order: Column, n: int = 4) -> list[DataFrame]:
+    """``df`` in ``n`` ranges of ``order`` (a number), the newest first: to be
+    written one by one, so that files arrive out of order."""
+    bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10000)).first()[0]
+    part = sum([(order > F.lit(b)).cast("int") for b in bounds], F.lit(0))
+    return [df.where(part == i) for i in reversed(range(n))]

@@ -50,7 +50,8 @@ landed_submissions AS (
 COMMENTS = """
 landed_comments AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS submission_id,
-    CASE WHEN p_partkey % 7 = 0 AND p_partkey % 5 <> 0 THEN p_name || ': ' || p_type
+    CASE WHEN p_partkey % 61 = 0 THEN p_name || ' (old title)'
+         WHEN p_partkey % 7 = 0 AND p_partkey % 5 <> 0 THEN p_name || ': ' || p_type
          ELSE p_name END AS show_title,
     p_brand AS show_director,
     concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS comment_id,
@@ -182,8 +183,9 @@ def _hint(x: str) -> str:
 
 
 GENERATED = CATALOG_CLEAN + """,
-gen_src AS (SELECT title, director, source,
-                   concat_ws('|', 'reelscope', title, coalesce(director, ''), source) AS skey
+gen_src AS (SELECT show_id, title, director, source,
+                   concat_ws('|', 'reelscope', coalesce(CAST(show_id AS VARCHAR), ''), title,
+                             coalesce(director, ''), source) AS skey
             FROM catalog_clean, (VALUES ('netflix'), ('tvshows')) s(source)
             WHERE title IS NOT NULL),
 gen_ck AS (SELECT g.*, i, skey || '|' || CAST(i AS VARCHAR) AS ck,
@@ -211,8 +213,8 @@ SELECT show_title, show_director, source, sub_id, score AS sub_score, count(*) A
 FROM gen GROUP BY show_title, show_director, source, sub_id, score"""
 
 ORACLE["generated_bodies"] = with_(GENERATED) + """
-SELECT show_title, show_director, comment_id, body, CAST(created_utc AS VARCHAR) AS created_utc, score
-FROM gen WHERE source = 'netflix'"""
+SELECT sub_id, show_title, show_director, source, comment_id, body, CAST(created_utc AS VARCHAR) AS created_utc, score
+FROM gen"""
 
 NESTED_SUMMARY = with_(SUBMISSIONS[1:], COMMENTS) + f"""
 SELECT s.submission_id, c.show_title, c.show_director, s.source, s.author,
@@ -245,11 +247,19 @@ ORACLE["catalog_roundtrip"] = ORACLE["catalog_clean"]
 ORACLE["catalog_bucketed"] = with_(CATALOG_CLEAN) + """
 SELECT release_year, count(*) AS n_shows FROM catalog_clean GROUP BY release_year"""
 
-ORACLE["append_then_replace"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """
-SELECT k.show_id, CAST(2 AS BIGINT) AS copies_append, CAST(1 AS BIGINT) AS copies_replace
-FROM catalog_clean k
-WHERE k."cast" IS NOT NULL AND EXISTS (SELECT 1 FROM comments_flat c
-      WHERE c.show_title = k.title AND c.show_director = k.director)"""
+# what two runs r1 and one run r0 leave: append keeps all, replace the last of each
+ORACLE["append_then_replace"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """,
+built AS (SELECT show_id FROM catalog_clean k
+  WHERE k."cast" IS NOT NULL AND EXISTS (SELECT 1 FROM comments_flat c
+        WHERE c.show_title = k.title AND c.show_director = k.director)),
+writes AS (SELECT * FROM (VALUES (1, 'r0'), (2, 'r1'), (3, 'r1')) w(n, run_id)),
+stored AS (SELECT b.show_id, w.n, w.run_id, w.n = max(w.n) OVER (PARTITION BY b.show_id, w.run_id) AS is_last
+           FROM built b, writes w)
+SELECT show_id, run_id, count(*) AS copies_append, count(*) FILTER (is_last) AS copies_replace
+FROM stored GROUP BY show_id, run_id"""
+
+ORACLE["catalog_partitioned_bucketed"] = with_(CATALOG_CLEAN) + """
+SELECT type, release_year, count(*) AS n_shows FROM catalog_clean GROUP BY type, release_year"""
 
 _PROFILE_COLS = [("show_id", "bigint"), ("type", "string"), ("title", "string"),
                  ("director", "string"), ("cast", "string"), ("country", "string"),
@@ -344,3 +354,34 @@ SELECT show_id, title, director, reason FROM (
   FROM catalog_clean k) WHERE reason IS NOT NULL"""
 
 ORACLE["mentions_per_day_stream"] = ORACLE["mentions_per_day"]
+
+HOT_SUMMARY = NESTED_SUMMARY.replace(
+    "SELECT CAST(l_orderkey AS VARCHAR) AS submission_id,\n    CASE WHEN p_partkey % 61",
+    "SELECT CASE WHEN l_orderkey % 3 = 0 THEN '1' ELSE CAST(l_orderkey AS VARCHAR) END AS submission_id,\n"
+    "    CASE WHEN p_partkey % 61").replace(
+    "FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "FROM lineitem JOIN part ON (CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END) = p_partkey")
+assert HOT_SUMMARY.count("l_orderkey % 3") == 2
+# rows with part = 0 are submissions: one per (thread, show), whatever the parts
+ORACLE["hot_thread_roundtrip"] = HOT_SUMMARY.replace(
+    "AS comments_digest\nFROM landed_submissions", "AS comments_digest, CAST(1 AS BIGINT) AS n_submissions\n"
+    "FROM landed_submissions")
+assert "n_submissions" in ORACLE["hot_thread_roundtrip"]
+
+ORACLE["phrase_alerts"] = ORACLE["phrase_mentions"]
+
+ORACLE["collected_threads"] = r"""
+WITH shows AS (SELECT text AS title, 'long ' || CAST(item_id AS VARCHAR) AS director FROM benchmark
+  UNION ALL SELECT regexp_extract(text, '^\s*(\S+)', 1), 'word ' || CAST(item_id AS VARCHAR) FROM benchmark),
+ph AS (SELECT title, director,
+  trim(regexp_replace(lower(split_part(title, ':', 1)), '[^\p{L}\p{N}]+', ' ', 'g')) AS phrase FROM shows),
+po AS (SELECT CAST(doc_id AS VARCHAR) AS submission_id, source,
+  trim(regexp_replace(lower(concat_ws(' ', 'Post ' || CAST(doc_id AS VARCHAR), text)), '[^\p{L}\p{N}]+', ' ', 'g')) AS nt
+  FROM documents),
+co AS (SELECT CAST(conv_id AS VARCHAR) AS submission_id, count(*) AS n,
+  """ + DIGEST("concat_ws('-', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))") + r""" AS d
+  FROM conversations GROUP BY conv_id)
+SELECT ph.title AS show_title, ph.director AS show_director, po.submission_id, po.source,
+       CAST(coalesce(co.n, 0) AS BIGINT) AS n_comments, coalesce(co.d, 0) AS comments_digest
+FROM ph JOIN po ON ph.phrase <> '' AND contains(' ' || po.nt || ' ', ' ' || ph.phrase || ' ')
+LEFT JOIN co ON co.submission_id = po.submission_id"""

@@ -212,12 +212,13 @@ def generated_comments(spark, sf_dir):
 
 @query
 def generated_bodies(spark, sf_dir):
-    """Every generated comment body of one source, with its time."""
-    from reelscope.operators.generator import DEFAULT_SOURCES, generate_comments
+    """Every generated comment body, with its time."""
+    from reelscope.operators.generator import generate_comments
     from reelscope.operators.nesting import flatten_comments
-    subs = generate_comments(fx.catalog_clean(spark, sf_dir), sources=DEFAULT_SOURCES[:1])
-    flat = flatten_comments(subs, keep=("show_title", "show_director"))
-    return flat.select("show_title", "show_director", "comment_id", "body",
+    subs = generate_comments(fx.catalog_clean(spark, sf_dir))
+    flat = flatten_comments(subs, keep=(F.col("submission_id").alias("sub_id"), "show_title", "show_director",
+                                        "source"))
+    return flat.select("sub_id", "show_title", "show_director", "source", "comment_id", "body",
                        F.col("created_utc").cast("string").alias("created_utc"), "score")
 
 
@@ -228,15 +229,15 @@ def _nested(spark, sf_dir):
     return nest_comments(fx.landed_submissions(spark, sf_dir), fx.landed_comments(spark, sf_dir))
 
 
-def _submission_summary(nested):
-    """Per submission row: comment count and id digest; parts merged."""
+def _submission_summary(nested, *more):
+    """Per submission: comment count and id digest over its parts."""
     from reelscope.functions.synthetic import hash60
     part_digest = F.aggregate(F.transform("comments", lambda c: hash60(c["comment_id"])),
                               F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x))
     keys = ["submission_id", "show_title", "show_director", "source", "author"]
     return nested.groupBy(*keys).agg(
         F.sum(F.size("comments")).cast("bigint").alias("n_comments"),
-        F.bit_xor(part_digest).alias("comments_digest"))
+        F.bit_xor(part_digest).alias("comments_digest"), *more)
 
 
 @query
@@ -271,23 +272,36 @@ def discussions_roundtrip(spark, sf_dir):
 # ---------------------------------------------------------- sources, sinks
 
 def _raw_csv(spark, sf_dir):
-    """Raw catalog as CSV files; rows with show_id % 113 = 0 are written
-    with one token too many (malformed)."""
+    """Raw catalog as CSV files, even shows with their columns in another
+    order; among the good rows those with show_id % 113 = 0 are malformed:
+    one token too many, or the last one missing."""
     from reelscope.session import scratch_path
-    from reelscope.sources.writers import write_catalog_csv
     raw = fx.catalog_raw(spark, sf_dir)
-    bad = F.col("show_id").cast("bigint") % 113 == 0
     base = scratch_path(spark, "catalog-csv")
-    write_catalog_csv(raw.where(~bad), f"{base}/good")
-    write_catalog_csv(raw.where(bad).withColumn("extra", F.lit("x")), f"{base}/bad")
-    return [f"{base}/good", f"{base}/bad"]
+    sid = F.col("show_id").cast("bigint")
+    columns = raw.columns
+    for name, rows, order in (("odd", raw.where(sid % 2 == 1), columns),
+                              ("even", raw.where(sid % 2 == 0), [*columns[3:0:-1], *columns[4:-1], columns[0],
+                                                                 columns[-1]])):
+        def quoted(c):
+            return F.concat(F.lit('"'), F.regexp_replace(F.coalesce(F.col(c), F.lit("")), '"', '""'), F.lit('"'))
+        token = [F.when(F.col(c).isNull(), F.lit("")).otherwise(quoted(c)) for c in order]
+        short = F.concat_ws(",", *token[:-1])
+        line = (F.when(sid % 226 == 0, F.concat(F.concat_ws(",", *token), F.lit(",x")))
+                .when(sid % 113 == 0, short).otherwise(F.concat_ws(",", *token)))
+        header = spark.createDataFrame([(0, ",".join(order))], "n int, value string")
+        lines = header.unionByName(rows.select(F.lit(1).alias("n"), line.alias("value")))
+        # one sorted file: its header comes first
+        lines.repartition(1).sortWithinPartitions("n").select("value").write.text(f"{base}/{name}")
+    return [f"{base}/odd", f"{base}/even"]
 
 
 @query
 def catalog_csv_scan(spark, sf_dir):
     """S1 (drop): malformed rows are dropped, every column parsed."""
     from reelscope.sources.readers import read_catalog_csv
-    return read_catalog_csv(spark, _raw_csv(spark, sf_dir), on_malformed="drop")
+    from reelscope.schemas import CATALOG_COLUMNS
+    return read_catalog_csv(spark, _raw_csv(spark, sf_dir), on_malformed="drop").select(*CATALOG_COLUMNS)
 
 
 @query
@@ -318,7 +332,7 @@ def comments_partitioned_roundtrip(spark, sf_dir):
     from reelscope.sources.readers import read_submissions
     from reelscope.sources.writers import write_partitioned
     path = scratch_path(spark, "submissions")
-    nested = _nested(spark, sf_dir).drop("part", "n_parts")
+    nested = _nested(spark, sf_dir)
     write_partitioned(nested, path, ["show_title"], mode="overwrite", buckets=16)
     back = read_submissions(spark, path, partition_cols=("key_bucket",))
     flat = flatten_comments(back)
@@ -340,22 +354,66 @@ def catalog_bucketed(spark, sf_dir):
 
 @query
 def append_then_replace(spark, sf_dir):
-    """The shows table written twice for one run id, by append
-    (the reference: duplicates) and by replace (rerun-safe)."""
+    """Run r0 once and run r1 twice, by append (the reference:
+    duplicates) and by replace (rerun-safe). The table is dropped between the
+    writes, as it is for a process with a fresh catalog: what is stored at
+    the path decides. Copies are counted on part 0, whatever a row's size."""
     import uuid
     from reelscope.session import scratch_path
     from reelscope.sources.writers import write_shows
     built = shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir),
-                                     fx.comments_flat(spark, sf_dir))
-    tag = uuid.uuid4().hex[:8]
+                                     fx.comments_flat(spark, sf_dir), max_per_row=2000)
     counts = {}
     for mode in ("append", "replace"):
-        name = f"shows_{mode}_{tag}"
-        for _ in range(2):
-            write_shows(built, name, scratch_path(spark, name), run_id="r1", mode=mode)
-        counts[mode] = spark.table(name).groupBy("show_id").agg(
+        name = f"shows_{mode}_{uuid.uuid4().hex[:8]}"
+        path = scratch_path(spark, name)
+        for run_id in ("r0", "r1", "r1"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            write_shows(built, name, path, run_id=run_id, mode=mode)
+        counts[mode] = spark.table(name).where("part = 0").groupBy("show_id", "run_id").agg(
             F.count(F.lit(1)).alias(f"copies_{mode}"))
-    return counts["append"].join(counts["replace"], "show_id", "full_outer")
+    return counts["append"].join(counts["replace"], ["show_id", "run_id"], "full_outer")
+
+
+@query
+def catalog_partitioned_bucketed(spark, sf_dir):
+    """K3: clean catalog partitioned by type and bucketed on release_year in
+    one table, read back per type and year."""
+    import uuid
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_bucketed
+    name = f"catalog_pb_{uuid.uuid4().hex[:8]}"
+    write_bucketed(fx.catalog_clean(spark, sf_dir), name, scratch_path(spark, name), 4,
+                   "release_year", partition_cols=["type"])
+    return explore.group_count(spark.table(name), ["type", "release_year"], "n_shows")
+
+
+@query
+def hot_thread_roundtrip(spark, sf_dir):
+    """A6 K2 S3 under skew: a third of all comments in one thread and show,
+    2,000 to a row, written and read back; per submission the same counts and
+    digests as the comments have, and one row with part 0."""
+    from reelscope.operators.nesting import nest_comments
+    from reelscope.session import scratch_path
+    from reelscope.sources.readers import read_submissions
+    from reelscope.sources.writers import write_partitioned
+    nested = nest_comments(fx.landed_submissions(spark, sf_dir), fx.landed_comments(spark, sf_dir, hot=True),
+                           max_per_row=2000)
+    path = scratch_path(spark, "hot-submissions")
+    write_partitioned(nested, path, ["show_title"], mode="overwrite", buckets=16)
+    back = read_submissions(spark, path, partition_cols=("key_bucket",))
+    return _submission_summary(back, F.count_if(F.col("part") == 0).alias("n_submissions"))
+
+
+@query
+def collected_threads(spark, sf_dir):
+    """The collected branch over whole tables: threads that mention
+    a searched title (long ones and single, often common, words) with their
+    comments, per (show, thread)."""
+    from reelscope.plans.jobs import collected_submissions
+    subs = collected_submissions(fx.searched_shows(spark, sf_dir), fx.threads(spark, sf_dir),
+                                 fx.thread_comments(spark, sf_dir))
+    return _submission_summary(subs).drop("author")
 
 
 # ------------------------------------------------------- checks, profile
@@ -430,18 +488,46 @@ def mentions_per_day(spark, sf_dir):
 
 @query
 def mention_alerts(spark, sf_dir):
-    """The events table consumed as a stream (availableNow), deduplicated
-    within a watermark, joined to the catalog, appended to a Parquet sink."""
-    from reelscope.session import scratch_path
-    from reelscope.streaming.mentions import run_alert_stream
-    base = scratch_path(spark, "alerts")
-    run_alert_stream(spark, sf_dir, fx.catalog_clean(spark, sf_dir), f"{base}/sink",
-                     f"{base}/checkpoint")
-    out = spark.read.parquet(f"{base}/sink")
+    """The events table as a stream of files, the newest first, in two
+    runs from one checkpoint: every late event is kept, once."""
+    from reelscope.streaming.mentions import read_alert_sink, run_alert_stream
+    sink = _in_two_runs(spark, sf_dir, run_alert_stream)
+    out = read_alert_sink(spark, sink)
     return out.select("event_id", F.col("ts").cast("string").alias("ts"), "show_id", "title",
                       "event_type", F.round(F.col("score") * 100).cast("bigint").alias("score_cents"))
 
 
+def _in_two_runs(spark, sf_dir, run):
+    """``run`` over the events in four files, two of them there at first and
+    the two older ones at the second run; gives the sink."""
+    from reelscope.session import scratch_path
+    base = scratch_path(spark, "event-stream")
+    events = fx.table(spark, sf_dir, "events")
+    parts = fx.newest_first(events, F.unix_micros(F.col("ts").cast("timestamp")))
+    catalog = fx.catalog_clean(spark, sf_dir)
+    for i, part in enumerate(parts):
+        part.write.mode("append").parquet(f"{base}/in")
+        if i in (1, 3):
+            run(spark, f"{base}/in", catalog, f"{base}/sink", f"{base}/checkpoint", max_files=4)
+    return f"{base}/sink"
+
+
+@query
+def phrase_alerts(spark, sf_dir):
+    """T1 J3 over a stream: posts arrive in four files, highest id first, in
+    two runs; an alert for every post that contains a searched title."""
+    from reelscope.session import scratch_path
+    from reelscope.streaming.mentions import read_phrase_alert_sink, run_phrase_alert_stream
+    base = scratch_path(spark, "post-stream")
+    posts = fx.posts(spark, sf_dir).select("post_id", "source", "text")
+    for i, part in enumerate(fx.newest_first(posts, F.col("post_id"))):
+        part.write.mode("append").parquet(f"{base}/in")
+        if i in (1, 3):
+            run_phrase_alert_stream(spark, f"{base}/in", fx.phrases(spark, sf_dir), ["item_id"], f"{base}/sink",
+                                    f"{base}/checkpoint", max_files=4)
+    return read_phrase_alert_sink(spark, f"{base}/sink")
+
+
 # ------------------------------------------------------------------ order
 
 @query
@@ -519,14 +605,9 @@ def dropped_shows(spark, sf_dir):
 
 @query
 def mentions_per_day_stream(spark, sf_dir):
-    """T2 as a stream: the events table consumed with availableNow, daily
-    windows in update mode with a watermark, micro-batches appended to a
-    sink, latest version per window read back."""
-    from reelscope.session import scratch_path
+    """T2 as a stream: the same files in two runs; every batch adds its counts
+    per daily window, late ones too; totals read back."""
     from reelscope.streaming.mentions import read_window_sink, run_window_stream
-    base = scratch_path(spark, "windows")
-    run_window_stream(spark, sf_dir, fx.catalog_clean(spark, sf_dir), f"{base}/sink",
-                      f"{base}/checkpoint")
-    out = read_window_sink(spark, f"{base}/sink")
+    out = read_window_sink(spark, _in_two_runs(spark, sf_dir, run_window_stream))
     return out.select(F.col("w.start").cast("string").alias("day"), "show_id", "title",
                       "n_mentions", "score_cents")

@@ -193,7 +193,7 @@ def test_shows_join_on_title_and_director(spark, raw):
 def test_assemble_shows_contract(spark, raw):
     cat = clean_catalog(raw)
     shows = assemble_shows(cat, _flat(spark))
-    assert shows.columns[:9] == SHOWS.fieldNames()
+    assert shows.columns[:11] == SHOWS.fieldNames()
     r = {x.show_id: x for x in shows.collect()}
     assert set(r) == {1, 2, 5}  # show 4 has no cast (B26), 7 has no comments (F6)
     assert [c.body for c in r[1].comments] == ["great", "meh"]
@@ -250,6 +250,18 @@ def test_generator_is_partition_invariant(spark, raw):
     assert generate_comments(nulls, n=3, shared_list=True).count() == 2
 
 
+def test_generator_gives_each_catalog_row_its_own(spark, raw):
+    """Cleaning leaves rows of equal title and director: each has its own
+    submissions, comments and ids."""
+    cat = clean_catalog(raw)
+    cat = cat.unionByName(cat.withColumn("show_id", F.col("show_id") + 1000))
+    rows = generate_comments(cat, n=15).collect()
+    assert len(rows) == 2 * cat.count() and len({r.submission_id for r in rows}) == len(rows)
+    assert all(len({c.comment_id for c in r.comments}) == len(r.comments) == 15 for r in rows)
+    shared = generate_comments(cat, n=15, shared_list=True).collect()
+    assert len(shared) == len(rows) and all(len(r.comments) == 30 for r in shared)
+
+
 def test_checks_semantics(spark, raw):
     clean_catalog(raw).createOrReplaceTempView("cat_u")
     res = run_checks(spark, [
@@ -258,10 +270,16 @@ def test_checks_semantics(spark, raw):
         ("none", "SELECT max(show_id) FROM cat_u WHERE show_id < 0", None),
         ("empty", "SELECT title FROM cat_u WHERE 1 = 0", None),
         ("float", "SELECT 2.0D", 2),
+        ("wide", "SELECT 9007199254740992", 9007199254740993),
+        ("millis", "SELECT TIMESTAMP '2020-01-01 00:00:00.125'", dt.datetime(2020, 1, 1, 0, 0, 0, 125000)),
+        ("nan", "SELECT double('NaN')", float("nan")),
+        ("twice", "SELECT 1 AS a, 2 AS a", 1),
+        ("date", "SELECT DATE '2020-01-02'", dt.date(2020, 1, 2)),
     ])
     got = {r.check: r.passed for r in res.collect()}
-    assert got == {"ok": True, "str": False, "none": True, "empty": False, "float": True}
-    with pytest.raises(ValueError, match="not successful"):
+    assert got == {"ok": True, "str": False, "none": True, "empty": False, "float": True, "wide": False,
+                   "millis": True, "nan": False, "twice": True, "date": True}
+    with pytest.raises(ValueError, match="quality check"):
         enforce(res)
 
 
