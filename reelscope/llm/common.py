@@ -39,6 +39,22 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return bare.select(*[F.col(f"c{at[c]}").cast(t).alias(c) for c, t in columns.items()])
 
 
+def carry(docs: DataFrame, **columns: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with the named columns of the given types beside all its own,
+    which are hidden under neutral names; and a function that gives them back
+    under their names and types, some replaced by keyword."""
+    at = {c: i for i, c in reversed(list(enumerate(docs.columns)))}
+    types = dict(docs.dtypes)
+    bare = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    bare = bare.select("*", *[F.col(f"c{at[c]}").cast(t).alias(c) for c, t in columns.items()])
+
+    def back(df: DataFrame, **changed) -> DataFrame:
+        return df.select(*[changed[c].cast(types[c]).alias(c) if c in changed else F.col(f"c{i}").alias(c)
+                           for i, c in enumerate(docs.columns)])
+
+    return bare, back
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: cuts the lineage, survives
     lost executors, and keeps a column pruned, compressed copy."""

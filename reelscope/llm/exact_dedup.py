@@ -19,11 +19,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm import fuse_filter
-from reelscope.llm.common import SPACES, importable, land, pick
+from reelscope.llm.common import SPACES, carry, importable, land, pick
 
 # Distinct digests per bucket: what one filter covers and one task probes.
 BUCKET_KEYS = 1 << 15
@@ -163,21 +163,17 @@ def _answer(rows: DataFrame, sha: Column) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marks = ["_id", "_points", "_sha"]
-    marked = (docs.withColumn("_id", F.col("doc_id").cast("bigint")).withColumn("_points", F.length(text))
-              .withColumn("_sha", F.sha2(F.translate(text, SPACES, ""), 256)))
+    rows, back = carry(docs, doc_id="bigint", text="string")
+    text = F.coalesce("text", F.lit(""))
+    rows = rows.withColumn("points", F.length(text)).withColumn("sha", F.sha2(F.translate(text, SPACES, ""), 256))
     answer = land(exact_dedup(docs), "exact_dedup")
-    stays = answer.where("kept").select(
-        F.col("doc_id").alias("_k"), F.col("text_sha256").alias("_s"))
-    # rows that share id and text with the one that stays
-    again = answer.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = land(again.select(F.col("doc_id").alias("_k"), F.col("text_sha256").alias("_s")), "repeated_rows")
-    same = F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_sha") == F.col("_s"))
-    kept = marked.join(stays, same, "left_semi")
+    named = answer.select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("s"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("sha") == F.col("s"))
+    stay = rows.join(named.where("kept").select("k", "s"), same, "left_semi")
+    # rows that share id and normalised text with the one that stays
+    again = land(named.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated_rows")
     if again.isEmpty():
-        return kept.select(docs.columns)
-    once, more = kept.join(again, same, "left_anti"), kept.join(again, same, "left_semi")
-    best = F.struct((-F.col("_points")).alias("p"), *[c for c, t in more.dtypes if not t.startswith("map")])
-    more = more.groupBy("_id", "_sha").agg(F.min(best).alias("b")).select("b.*")
-    return once.select(docs.columns).unionByName(more.select(docs.columns))
+        return back(stay)
+    place = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy(F.desc("points"), "text"))
+    more = stay.join(again, same, "left_semi").withColumn("place", place).where("place = 1").drop("place")
+    return back(stay.join(again, same, "left_anti").unionByName(more))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.llm.common import importable, land, pick
+from reelscope.llm.common import carry, importable, land, pick
 
 # Labelled documents per language to learn from (about: a hash of doc_id is
 # compared with this share), and the sizes of the two tables.
@@ -158,6 +158,7 @@ def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without those in no language: ``und``, or a best language with
     less than ``min_score`` of the posterior. A missing ``lang`` is filled in."""
     predict = predictor(docs)
-    told = docs.withColumn("_p", predict(F.col("text").cast("string")))
-    told = told.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= min_score))
-    return told.withColumn("lang", F.coalesce("lang", "_p.lang_pred")).select(docs.columns)
+    rows, back = carry(docs, text="string", lang="string")
+    told = rows.withColumn("p", predict("text"))
+    told = told.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score))
+    return back(told, lang=F.coalesce("lang", "p.lang_pred"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelscope.llm.common import NOT_SPACE, land, small
+from reelscope.llm.common import NOT_SPACE, carry, land, pick, small
 
 RATIOS = (3, 1, 2)
 SHARE = 1.5
@@ -34,6 +34,7 @@ UNLABELLED = 1.0
 
 def quality_weights(labels: DataFrame) -> DataFrame:
     """``(doc_id, weight)``: the sampling weight by the best label of a document."""
+    labels = pick(labels, doc_id="bigint", quality="int")
     best = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     weight = F.lit(UNLABELLED)
     for q, w in QUALITY_WEIGHTS.items():
@@ -164,7 +165,8 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     doc_id, then size; rows repeated in full are documents of their own.
     Without any word all targets are 0; an empty table gives an empty one.
     """
-    rows = land(keyed(docs, quality_weights(labels)).select("doc_id", "source", "_size", "_key", "_at"), "sizes")
+    docs = pick(docs, doc_id="bigint", text="string", source="string")
+    rows = land(keyed(docs, quality_weights(labels)).drop("text"), "sizes")
     return taken(rows, plan(rows)).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"), F.col("_taken").alias("taken"))
@@ -174,7 +176,8 @@ def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken whole, and the
     boundary documents once more, cut to the words that are left (joined by
     one space, n_chars counted anew). Columns as in ``docs``."""
-    full = keyed(docs, quality_weights(labels))
+    rows, back = carry(docs, doc_id="bigint", text="string", source="string")
+    full = keyed(rows, quality_weights(labels))
     state = plan(land(full.select("source", "_size", "_at"), "sizes"))
     out = taken(full, state).where("_taken > 0")
     out = out.withColumn("_times", F.floor(F.col("_taken") / F.col("_size")).cast("int"))
@@ -183,6 +186,5 @@ def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times"))))
     kept = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(NOT_SPACE), F.lit(0)), 1, F.col("_left")), " ")
     cut = out.where("_left > 0").withColumn("text", kept)
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast("bigint"))
-    return whole.select(docs.columns).unionByName(cut.select(docs.columns))
+    fresh = {"text": F.col("text"), "n_chars": F.length("text")}
+    return back(whole).unionByName(back(cut, **fresh))

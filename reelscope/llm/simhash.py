@@ -21,10 +21,10 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelscope.llm.common import land, map_rows, pick
+from reelscope.llm.common import carry, land, map_rows, pick
 from reelscope.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -138,10 +138,14 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """``docs`` with the smallest doc_id of each group, all columns kept.
     Rows without doc_id stay; rows that repeat an id that stays count once."""
-    groups = simhash_groups(docs.where(F.col("doc_id").isNotNull()), words, distance)
-    stays = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    rows, back = carry(docs, doc_id="bigint", text="string")
+    groups = simhash_groups(rows.where("doc_id is not null").select("doc_id", "text"), words, distance)
+    stays = (groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("k"))
+             .agg(F.count(F.lit(1)).alias("n")))
     stays = land(stays, "representatives")
-    here = F.col("doc_id").cast("bigint") == F.col("_k")
-    once = docs.join(stays.where("_n = 1"), here, "left_semi")
-    more = docs.join(stays.where("_n > 1"), here, "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more).unionByName(docs.where(F.col("doc_id").isNull()))
+    here = F.col("doc_id") == F.col("k")
+    once = rows.join(stays.where("n = 1"), here, "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    more = (rows.join(stays.where("n > 1"), here, "left_semi").withColumn("place", place)
+            .where("place = 1").drop("place"))
+    return back(once.unionByName(more).unionByName(rows.where("doc_id is null")))

@@ -111,7 +111,7 @@ def _windows(texts: DataFrame, window: int, period: int, cover) -> DataFrame:
             words = word_hashes(_split(text))
             at, h = anchors(words, window, period, cover)
             hit = at[np.isin(h, np.array(shared, np.int64))]
-            n = len(words) - window + 1
+            n = max(0, len(words) - window + 1)  # rows that share an id may be short
             edge = np.zeros(n + 1, np.int64)
             np.add.at(edge, np.clip(hit - period + 1, 0, n), 1)
             np.add.at(edge, np.clip(hit + 1, 0, n), -1)
