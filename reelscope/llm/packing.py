@@ -13,18 +13,21 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelscope.llm.common import land, map_rows, pick
+from reelscope.llm.common import importable, land, pick
 
 CAP = 2048
 VOCABULARY = "word_bpe_49k.json"
@@ -32,9 +35,14 @@ END_OF_DOCUMENT = 0
 # Parts over which the pieces of one length are numbered.
 PARTS = 64
 # Words whose ids a Python worker remembers; the rest are encoded each time.
-REMEMBERED = 600_000
-_WORDS_AT_ONCE = 4096
+REMEMBERED = 1_000_000
+# Texts that are encoded together.
+TEXTS_AT_ONCE = 1024
+_WORDS_AT_ONCE = 128
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u024f]+")
+# a plain word that ends in a letter or digit, and the punctuation after it
+# (U+0130 is a letter and a mark once it is lower case)
+_TAILED = re.compile("([\x21-\x7e\u00c0-\u024f]*[0-9a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f])([!\"#$%&()*,./:;?|-]+)")
 # fixed value: the pattern by which this vocabulary's tokenizer splits words
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -42,11 +50,12 @@ _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 class WordIds:
     """The tokenizer's ids of whole texts, as little-endian uint32 bytes.
 
-    The tokenizer drops white space and never joins across it, so a text's
-    ids are those of its words. Words are encoded by the library, many at a
-    time; each piece of a word ends with one id marked as a word end, which
-    tells where each word's ids stop. Words outside plain Latin letters are
-    encoded alone.
+    The tokenizer lower-cases, drops white space and never joins across it,
+    nor across the end of a run of letters or digits, so a text's ids are
+    those of its words, and a word's those of its body and its trailing
+    punctuation. Words are encoded by the library, many at a time; each piece
+    of a word ends with one id marked as a word end, which tells where each
+    word's ids stop. Words outside plain Latin letters are encoded alone.
     """
 
     def __init__(self, vocabulary: str):
@@ -55,7 +64,7 @@ class WordIds:
         ids = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(ids.values()) + 1, bool)
         self.ends[[i for w, i in ids.items() if w.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _alone(self, words: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -71,30 +80,45 @@ class WordIds:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *stop], stop)]
 
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out: dict[bytes, bytes] = {}
-        plain, odd = [], []
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not remembered."""
+        plain: dict[str, None] = {}
+        odd: dict[str, None] = {}
+        split: dict[str, tuple[str, str]] = {}
         for w in words:
-            s = w.decode()
-            (plain if _PLAIN.fullmatch(s) and unicodedata.is_normalized("NFC", s) else odd).append((w, s))
-        for way, group in ((self._together, plain), (self._alone, odd)):
+            if tailed := _TAILED.fullmatch(w):
+                split[w] = tailed.groups()
+                plain.update((part, None) for part in split[w] if part not in self.known)
+            else:
+                (plain if _PLAIN.fullmatch(w) else odd)[w] = None
+        out: dict[str, bytes] = {}
+        for way, group in ((self._together, list(plain)), (self._alone, list(odd))):
             for i in range(0, len(group), _WORDS_AT_ONCE):
                 part = group[i:i + _WORDS_AT_ONCE]
-                out.update(zip((w for w, _ in part), way([s for _, s in part])))
+                out.update(zip(part, way(part)))
+        for w, (body, tail) in split.items():
+            out[w] = (out.get(body) or self.known[body]) + (out.get(tail) or self.known[tail])
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        missing = list(set().union(*split).difference(self.known)) if split else []
-        fresh = self._new(missing)
-        room = REMEMBERED - len(self.known)
-        if len(fresh) <= room:
-            self.known.update(fresh)
-            find = self.known.__getitem__
-        else:
-            find = {**{w: self.known[w] for w in set().union(*split) - fresh.keys()}, **fresh}.__getitem__
-            self.known.update(list(fresh.items())[:max(0, room)])
-        return [b"".join(map(find, words)) for words in split]
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.known.get, words))
+        fresh = self._new([w for w, ids in zip(words, found) if ids is None])
+        self.known.update(islice(fresh.items(), max(0, REMEMBERED - len(self.known))))
+        return [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one text after the other, and where each text's end."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words = split.flatten().dictionary_encode()
+        of = self.ids(words.dictionary.to_pylist())
+        size = np.fromiter(map(len, of), np.int64, len(of)) // 4
+        flat = np.frombuffer(b"".join(of), "<u4")
+        at = words.indices.to_numpy().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(size[at])])
+        first = (np.cumsum(size) - size)[at] - ends[:-1]
+        ids = flat[np.repeat(first, size[at]) + np.arange(ends[-1])]
+        return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]
 
 
 @lru_cache(maxsize=2)
@@ -102,22 +126,33 @@ def word_ids(vocabulary: str) -> WordIds:
     return WordIds(vocabulary)
 
 
+PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
+                    ("length", pa.int64()), ("ids_crc32", pa.int64())])
+
+
 def pieces(docs: DataFrame, cap: int = CAP, vocabulary: str = VOCABULARY) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document."""
+    importable(docs.sparkSession)
     end = np.array([END_OF_DOCUMENT], "<u4").tobytes()
 
-    def run(c: dict) -> dict:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        for doc, ids in zip(c["doc_id"], word_ids(vocabulary).encode(c["text"])):
-            ids += end
-            for k, at in enumerate(range(0, len(ids) // 4, cap)):
-                part = ids[4 * at:4 * (at + cap)]
-                for n, v in zip(out, (doc, k, at, len(part) // 4, zlib.crc32(part))):
-                    out[n].append(v)
-        return out
-
-    return map_rows(pick(docs, doc_id="bigint", text="string"), run,
-                    "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(i, TEXTS_AT_ONCE)
+                ids, ends = word_ids(vocabulary).encode(part.column("text"))
+                rows: list[list] = [[] for _ in PIECES]
+                low = 0
+                for doc, high in zip(part.column("doc_id").to_pylist(), ends.tolist()):
+                    own = ids[low:high].tobytes() + end
+                    for k, at in enumerate(range(0, high - low + 1, cap)):
+                        some = own[4 * at:4 * (at + cap)]
+                        for c, v in zip(rows, (doc, k, at, len(some) // 4, zlib.crc32(some))):
+                            c.append(v)
+                    low = high
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, PIECES)], schema=PIECES)
+
+    return pick(docs, doc_id="bigint", text="string").mapInArrow(
+        run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def _pair(counts: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
