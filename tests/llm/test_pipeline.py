@@ -7,6 +7,7 @@ import corpus_pipeline
 from reelscope.llm.registry import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tests.harness import compare, duck
+from tests.llm.fixtures import documents, messy
 from tests.llm.test_dedup import SPACE, brute_fingerprint, union_find
 
 
@@ -53,6 +54,20 @@ def test_stages_hand_on_what_they_keep(spark, tmp_path):
         (r["doc_id"], r["piece"], r["ids_crc32"]) for r in QUERIES["pipeline"](spark, SF_SMALL).collect())
 
 
+def test_stages_take_any_rows(spark, tmp_path):
+    """Nulls, ties, repeated rows, columns that operators name themselves; and none."""
+    docs = documents(spark, messy())
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.dtypes == docs.dtypes
+        assert stage(spark, docs.where("false"), SF_SMALL).count() == 0
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.count() > 20
+    assert corpus_pipeline.STAGES[4][1](spark, docs, SF_SMALL).count() >= docs.count()
+    assert corpus_pipeline.STAGES[4][1](spark, docs.where("false"), SF_SMALL).count() == 0
+
+
 def test_sql_agrees(spark):
     con = duck(SF_SMALL)
     for name, sql in ORACLE.items():
