@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan tree of every registered query.
+"""Write PLANS.md: the physical operators of every library query, in short.
 
 Usage: python -m tests.plan_report [sf_dir]
 """
@@ -7,36 +7,39 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 
-import __spark_entry__ as E
-from reelscope.session import get_session
+from reelscope.plans.registry import QUERIES
+from reelscope.session import drop_scratch, get_session
 
+SHOWN = ("Scan parquet", "Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin",
+         "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "WindowGroupLimit", "Generate", "Expand",
+         "TakeOrderedAndProject", "Union")
 
-def tree(df) -> str:
+
+def operators(df) -> str:
     text = df._jdf.queryExecution().executedPlan().treeString()
-    # keep operator names, drop attribute lists
-    lines = []
+    names = Counter()
     for line in text.splitlines():
-        line = re.sub(r"\[[^\]]*#\d+[^\]]*\]", "[…]", line)
-        line = re.sub(r"Location: [^,]*(, |$)", "", line)
-        line = re.sub(r"file:[^\s\],]*", "…", line)
-        indent = len(line) - len(line.lstrip())
-        line = line[:indent] + re.sub(r"\s+", " ", line[indent:].rstrip())
-        lines.append(line[:170])
-    return "\n".join(lines)
+        m = re.match(r"[\s:+\-|]*(?:\*\(\d+\) )?([A-Za-z]+(?: parquet)?)", line)
+        if m and (m[1] in SHOWN or m[1].startswith("FileScan")):
+            names["Scan" if "Scan" in m[1] else m[1]] += 1
+    return ", ".join(f"{n} {k}" for k, n in sorted(names.items()))
 
 
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8)
     out = ["# Physical plans", "",
-           f"Initial physical plans (AQE re-plans at run time) of every registered query on "
-           f"`{sf_dir}`, from `python -m tests.plan_report`. Attribute lists are elided.", ""]
-    for name in sorted(E.queries()):
-        df = E.queries()[name](spark, sf_dir)
-        doc = (E.queries()[name].__doc__ or "").strip().splitlines()[0]
-        out += [f"## {name}", "", doc, "", "```", tree(df), "```", ""]
-    open("PLANS.md", "w").write("\n".join(out))
+           f"Operators in the initial physical plan (AQE re-plans at run time) of every library query on "
+           f"`{sf_dir}`, from `python -m tests.plan_report`. Jobs that a query runs before (checkpoints, "
+           "written tables, streams) are not in it; `bench.py` counts them from the event log.", "",
+           "| query | what | operators |", "|---|---|---|"]
+    for name in sorted(QUERIES):
+        doc = " ".join((QUERIES[name].__doc__ or "").split()).split(". ")[0].rstrip(".").replace("|", "/")
+        out.append(f"| `{name}` | {doc} | {operators(QUERIES[name](spark, sf_dir))} |")
+    open("PLANS.md", "w").write("\n".join(out) + "\n")
+    drop_scratch(spark)
     print("wrote PLANS.md", len(out))
 
 
