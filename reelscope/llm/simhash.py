@@ -78,10 +78,8 @@ def _hot_links(fps: DataFrame, distance: int) -> DataFrame:
     Each fingerprint is listed under every value at most ``distance // 2``
     bits away. Two within ``distance`` (even) share the value midway, and all
     under one value are within ``distance`` of each other: linking each to
-    the smallest there is exact and linear. Odd distances are refused.
+    the smallest there is exact and linear. ``distance`` must be even.
     """
-    if distance % 2:
-        raise ValueError("hot block values need an even distance")
     flips = [0]
     for r in range(1, distance // 2 + 1):
         flips += [sum(1 << b for b in bits) for bits in combinations(range(64), r)]
@@ -96,19 +94,22 @@ def _hot_links(fps: DataFrame, distance: int) -> DataFrame:
 def close_pairs(fps: DataFrame, distance: int = MAX_DISTANCE, hot: int = HOT) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints: every pair within
     ``distance`` bits is linked, directly or through others that are; no two
-    farther apart are linked directly. ``fps`` has one row per value."""
+    farther apart are linked directly. ``fps`` has one row per value. With an
+    odd ``distance`` crowded block values are joined in pairs too."""
     # wide enough blocks that a value is shared by few by chance
     n = fps.count()
     blocks = next((b for b in range(distance + 1, 64)
                    if n <= 1 << (64 * (b - distance) // b + 1)), 64)
     keys = land(_block_keys(fps, blocks, distance), "blocks")
-    crowded = (keys.groupBy("key", "part").count().where(F.col("count") > hot)
-               .select("key", "part"))
+    crowded = (keys.groupBy("key", "part").count()
+               .where(F.lit(distance % 2 == 0) & (F.col("count") > hot)).select("key", "part"))
     cold = keys.join(crowded, ["key", "part"], "left_anti")
     a, b = cold.withColumnRenamed("fp", "a"), cold.withColumnRenamed("fp", "b")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     pairs = (a.join(b, ["key", "part"]).where((F.col("a") < F.col("b")) & (apart <= distance))
              .select("a", "b"))
+    if distance % 2:
+        return pairs
     crowd = keys.join(crowded, ["key", "part"], "left_semi").select("fp").distinct()
     return pairs.unionByName(_hot_links(crowd, distance))
 

@@ -126,19 +126,19 @@ def test_fingerprint_of_long_text():
     assert fingerprint(text) % (1 << 64) == brute_fingerprint(text)
 
 
-@pytest.mark.parametrize("hot", [1, 3, 1000])
-def test_close_pairs_link_all_that_are_close(spark, hot):
+@pytest.mark.parametrize("hot,distance", [(1, 2), (3, 2), (1000, 2), (3, 1), (3, 4)])
+def test_close_pairs_link_all_that_are_close(spark, hot, distance):
     rng = random.Random(hot)
     centres = [rng.getrandbits(64) for _ in range(6)]
     fps = {c for c in centres} | {c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))
                                   for c in centres for _ in range(60)}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp bigint")
-    got = {tuple(r) for r in close_pairs(df, hot=hot).collect()}
-    far = [(a, b) for a, b in got if ((a ^ b) % (1 << 64)).bit_count() > 2]
+    got = {tuple(r) for r in close_pairs(df, distance, hot).collect()}
+    far = [(a, b) for a, b in got if ((a ^ b) % (1 << 64)).bit_count() > distance]
     assert not far
     want = union_find(signed, [(a, b) for a, b in itertools.combinations(signed, 2)
-                               if ((a ^ b) % (1 << 64)).bit_count() <= 2])
+                               if ((a ^ b) % (1 << 64)).bit_count() <= distance])
     assert union_find(signed, got) == want
 
 
