@@ -54,12 +54,12 @@ def sampling_key(doc_id: Column, weight: Column) -> Column:
 
 
 def keyed(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with ``_size``, ``_key`` and ``_at``,
-    the key's place in 0 to 1, which orders documents as the key does."""
-    w = weights.select(F.col("doc_id").alias("_of"), "weight")
+    """``docs`` (doc_id, source, _size, ...) with ``_key`` and ``_at``, the
+    key's place in 0 to 1, which orders documents as the key does. Weights
+    grow with the documents, so the join shuffles both sides at every size."""
+    w = weights.select(F.col("doc_id").alias("_of"), "weight").hint("merge")
     out = docs.join(w, F.col("doc_id") == F.col("_of"), "left")
-    out = (out.withColumn("_size", words(F.col("text")))
-           .withColumn("_key", sampling_key(F.col("doc_id"), F.coalesce("weight", F.lit(UNLABELLED))))
+    out = (out.withColumn("_key", sampling_key(F.col("doc_id"), F.coalesce("weight", F.lit(UNLABELLED))))
            .drop("_of", "weight"))
     return out.withColumn("_at", 1 - F.exp(-F.col("_key")))
 
@@ -166,7 +166,8 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Without any word all targets are 0; an empty table gives an empty one.
     """
     docs = pick(docs, doc_id="bigint", text="string", source="string")
-    rows = land(keyed(docs, quality_weights(labels)).drop("text"), "sizes")
+    sizes = docs.select("doc_id", "source", words(F.col("text")).alias("_size"))
+    rows = land(keyed(sizes, quality_weights(labels)), "sizes")
     return taken(rows, plan(rows)).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"), F.col("_taken").alias("taken"))
@@ -177,7 +178,7 @@ def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     boundary documents once more, cut to the words that are left (joined by
     one space, n_chars counted anew). Columns as in ``docs``."""
     rows, back = carry(docs, doc_id="bigint", text="string", source="string")
-    full = keyed(rows, quality_weights(labels))
+    full = keyed(rows.withColumn("_size", words(F.col("text"))), quality_weights(labels))
     state = plan(land(full.select("source", "_size", "_at"), "sizes"))
     out = taken(full, state).where("_taken > 0")
     out = out.withColumn("_times", F.floor(F.col("_taken") / F.col("_size")).cast("int"))
