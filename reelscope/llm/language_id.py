@@ -11,16 +11,13 @@ the answer is the largest, with its share of the posterior.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from dataclasses import dataclass, field
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelscope.llm.common import carry, importable, land, pick
+from reelscope.llm.common import CHUNK_ROWS, carry, importable, land, pick
 
 # Labelled documents per language to learn from (about: a hash of doc_id is
 # compared with this share), and the sizes of the two tables.
@@ -35,9 +32,7 @@ UNKNOWN = "und"
 # Least posterior for a document to count as in a language, where others go.
 MIN_SCORE = 0.5
 # Unseen words whose scores a worker remembers.
-REMEMBERED = 200_000
-
-_WORD = re.compile(r"[^\W\d_]+")
+REMEMBERED = 100_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -45,41 +40,75 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-@dataclass
 class Model:
-    languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
-    _seen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, w: str) -> np.ndarray:
-        """Log frequency of a word per language, up to a common constant."""
-        known = self.words.get(w)
-        if known is None:
-            known = self._seen.get(w)
-        if known is None:
-            known = self._backed_off(w)
-            if len(self._seen) < REMEMBERED:
-                self._seen[w] = known
-        return known
-
-    def _backed_off(self, w: str) -> np.ndarray:
-        padded = f"<{w}>"
-        for n in range(min(LONGEST_GRAM, len(padded)), 0, -1):
-            found = [g for i in range(len(padded) - n + 1)
-                     if (g := self.grams.get(padded[i:i + n])) is not None]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(_WORD.findall((text or "").lower()))
-        if not self.languages or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
-        rows = np.array([self.word(w) for w in words])
-        total = np.fromiter(words.values(), float, len(words)) @ rows
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+    """Log frequencies per language of words and of character n-grams, as
+    rows of two matrices; words are looked up many at a time."""
+
+    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
+        self.languages = languages
+        self.words, self.word_rows = _stacked(words, len(languages))
+        self.grams, self.gram_rows = _stacked(grams, len(languages))
+        self.seen: dict[str, int] = {}
+        self.seen_rows = np.zeros((0, len(languages)))
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Log frequency of each word per language, up to a constant per word
+        that is the same for all languages; zero for the empty word."""
+        out = np.zeros((len(words), len(self.languages)))
+        for of, rows in ((self.words, self.word_rows), (self.seen, self.seen_rows)):
+            at = np.fromiter((of.get(w, -1) for w in words), np.int64, len(words))
+            if len(rows):
+                out[at >= 0] = rows[at[at >= 0]]
+            done = at >= 0 if of is self.words else done | (at >= 0)
+        new = [i for i in np.flatnonzero(~done).tolist() if words[i]]
+        if new:
+            fresh = self._backed_off([words[i] for i in new])
+            out[new] = fresh
+            room = max(0, REMEMBERED - len(self.seen))
+            self.seen.update({words[i]: len(self.seen_rows) + k for k, i in enumerate(new[:room])})
+            self.seen_rows = np.concatenate([self.seen_rows, fresh[:room]])
+        return out
+
+    def _backed_off(self, words: list[str]) -> np.ndarray:
+        """Mean over a word's known n-grams of the greatest length that has any."""
+        found, counts = [], []
+        get = self.grams.get
+        for w in words:
+            padded = f"<{w}>"
+            hits: list[int] = []
+            for n in range(min(LONGEST_GRAM, len(padded)), 0, -1):
+                hits = [g for i in range(len(padded) - n + 1) if (g := get(padded[i:i + n])) is not None]
+                if hits:
+                    break
+            found += hits
+            counts.append(len(hits))
+        out, n = np.zeros((len(words), len(self.languages))), np.array(counts)
+        if found:
+            starts = (np.cumsum(n) - n)[n > 0]
+            out[n > 0] = np.add.reduceat(self.gram_rows[found], starts, axis=0) / n[n > 0, None]
+        return out
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Language and its share of the posterior per text."""
+        split = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+")
+        coded = split.flatten().dictionary_encode()
+        vocabulary = coded.dictionary.to_pylist()
+        if not len(texts) or not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        at = coded.indices.to_numpy()
+        size = pc.list_value_length(split).to_numpy()  # one at least, the empty word
+        starts = np.cumsum(size) - size
+        total = np.add.reduceat(self.rows(vocabulary)[at], starts, axis=0)
+        letters = np.add.reduceat(np.array([w != "" for w in vocabulary], np.int64)[at], starts) > 0
+        best = total.argmax(1)
+        share = 1 / np.exp(total - total[np.arange(len(best)), best][:, None]).sum(1)
+        names = [self.languages[b] if some else UNKNOWN for b, some in zip(best.tolist(), letters.tolist())]
+        return names, np.where(letters, share, 0.0)
+
+
+def _stacked(table: dict[str, np.ndarray], languages: int) -> tuple[dict[str, int], np.ndarray]:
+    rows = np.array(list(table.values())) if table else np.zeros((0, languages))
+    return {item: i for i, item in enumerate(table)}, rows
 
 
 def _table(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
@@ -133,9 +162,17 @@ def predictor(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE):
                        & ~held_out(F.col("doc_id")))
     model = spark.sparkContext.broadcast(train(known, per_language))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(texts: pa.Array) -> pa.Array:
+        names, shares = [], []
+        for i in range(0, len(texts), CHUNK_ROWS):
+            some = model.value.predict(texts[i:i + CHUNK_ROWS])
+            names += some[0]
+            shares.append(some[1])
+        pa.default_memory_pool().release_unused()
+        shares = np.concatenate([*shares, np.zeros(0)])
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())],
+                                          ["lang_pred", "score"])
 
     return predict
 

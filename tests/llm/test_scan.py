@@ -104,8 +104,12 @@ def test_language_of_odd_rows(spark):
 def test_unseen_words_fall_back_to_shorter_grams():
     model = language_id.Model(["a", "b"], {"known": np.array([0.0, -1.0])},
                               {"xyz": np.array([-5.0, -1.0]), "q": np.array([-1.0, -3.0])})
-    assert model.predict("known")[0] == "a" and model.predict("wxyzw")[0] == "b"
-    assert model.predict("q")[0] == "a" and model.predict("ß")[0] == "a"  # a tie: the first
+    texts = ["known", "wxyzw", "q", "\u00df", None, "", "12 %", "known wxyzw wxyzw"]
+    for _ in range(2):  # the second time from memory
+        names, shares = model.predict(pa.array(texts, pa.string()))
+        assert names == ["a", "b", "a", "a", "und", "und", "und", "b"]  # a tie: the first
+        assert np.allclose(shares, [1 / (1 + np.exp(-1)), 1 / (1 + np.exp(-4)), 1 / (1 + np.exp(-2)), 0.5, 0, 0, 0,
+                                    1 / (1 + np.exp(-7))])
 
 
 # ---------------------------------------------------------------- URLs
