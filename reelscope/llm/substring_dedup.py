@@ -160,9 +160,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     docs = docs.withColumn("doc_id", F.coalesce("doc_id", largest))
     rows = land(_first_pass(docs, window, period, cover), "anchors")
 
+    # landed, so that the join below reads plain shuffles, which AQE may split
+    # where one text holds many rows; few texts are broadcast instead
     first = rows.where(F.col("n_words") >= window).groupBy("sha").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = land(rows.select("doc_id", "sha").join(first.select("sha", "first"), "sha")
+    first = small(land(first.select("sha", "first"), "repeated_texts"))
+    copies = land(rows.select("doc_id", "sha").join(first, "sha")
                   .where("doc_id > first").select("doc_id", "sha").distinct(), "copies")
     whole = (rows.select("doc_id", "sha", "anchors")
              .join(small(copies, BROADCAST_IDS // 8), ["doc_id", "sha"], "left_anti")
