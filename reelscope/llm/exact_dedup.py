@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm import fuse_filter
-from reelscope.llm.common import SPACES, carry, importable, land, pick
+from reelscope.llm.common import SPACES, carry, importable, land, pick, small
 
 # Distinct digests per bucket: what one filter covers and one task probes.
 BUCKET_KEYS = 1 << 15
@@ -99,7 +99,7 @@ def screen(new: DataFrame, filters: DataFrame) -> DataFrame:
 def _false_digests(texts: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Digests that cover more than one text, found by comparing the texts."""
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
-    salted = (rows.join(groups.where("n > 1").select("digest"), "digest")
+    salted = (rows.join(small(groups.where("n > 1").select("digest")), "digest")
               .select("digest", salt.alias("salt")).distinct())
     parts = (texts.withColumn("salt", salt).join(salted, ["digest", "salt"], "left_semi")
              .groupBy("digest", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")))
