@@ -72,11 +72,12 @@ def _level(rows: DataFrame, depth: int) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("lab"),
                    F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     counts = land(counts, "url_segments")
-    node = (counts.groupBy("host", "template")
-            .agg(F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")))
+    node = land(counts.groupBy("host", "template")
+                .agg(F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")),
+                "url_nodes")
     constant = (F.col("n") >= MIN_COUNT) & (F.col("n") >= MIN_SHARE * F.col("all_n"))
     branch = F.when(constant, F.col("seg")).otherwise("*")
-    branches = (counts.join(node, ["host", "template"]).withColumn("branch", branch)
+    branches = (counts.join(small(node), ["host", "template"]).withColumn("branch", branch)
                 .groupBy("host", "template", "branch", constant.alias("constant"))
                 .agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"),
                      F.first("all_lab").alias("all_lab"), F.first("all_bad").alias("all_bad")))
