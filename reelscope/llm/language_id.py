@@ -32,7 +32,7 @@ UNKNOWN = "und"
 # Least posterior for a document to count as in a language, where others go.
 MIN_SCORE = 0.5
 # Unseen words whose scores a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 20_000
 
 
 def held_out(doc_id: Column) -> Column:

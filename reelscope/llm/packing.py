@@ -34,10 +34,11 @@ VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 0
 # Parts over which the pieces of one length are numbered.
 PARTS = 64
-# Words whose ids a Python worker remembers; the rest are encoded each time.
-REMEMBERED = 1_000_000
+# Words whose ids a Python worker remembers, first come first kept; the rest
+# are encoded each time. About 200 bytes a word.
+REMEMBERED = 80_000
 # Texts that are encoded together.
-TEXTS_AT_ONCE = 1024
+TEXTS_AT_ONCE = 512
 _WORDS_AT_ONCE = 128
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u024f]+")
 # a plain word that ends in a letter or digit, and the punctuation after it
@@ -111,10 +112,10 @@ class WordIds:
         """All ids, one text after the other, and where each text's end."""
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         words = split.flatten().dictionary_encode()
+        at = words.indices.to_numpy()
         of = self.ids(words.dictionary.to_pylist())
         size = np.fromiter(map(len, of), np.int64, len(of)) // 4
         flat = np.frombuffer(b"".join(of), "<u4")
-        at = words.indices.to_numpy().astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(size[at])])
         first = (np.cumsum(size) - size)[at] - ends[:-1]
         ids = flat[np.repeat(first, size[at]) + np.arange(ends[-1])]
@@ -150,6 +151,7 @@ def pieces(docs: DataFrame, cap: int = CAP, vocabulary: str = VOCABULARY) -> Dat
                             c.append(v)
                     low = high
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, PIECES)], schema=PIECES)
+            pa.default_memory_pool().release_unused()
 
     return pick(docs, doc_id="bigint", text="string").mapInArrow(
         run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
