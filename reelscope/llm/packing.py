@@ -36,7 +36,7 @@ END_OF_DOCUMENT = 0
 PARTS = 64
 # Words whose ids a Python worker remembers, first come first kept; the rest
 # are encoded each time. About 200 bytes a word.
-REMEMBERED = 80_000
+REMEMBERED = 300_000
 # Texts that are encoded together.
 TEXTS_AT_ONCE = 512
 _WORDS_AT_ONCE = 128
