@@ -161,6 +161,32 @@ def test_bad_templates_are_rejected(spark):
     assert {got[i]["verdict"] for i in range(120, 140)} == {"allow"}
 
 
+def test_small_bad_sections_of_large_hosts_are_rejected(spark):
+    # 50 sections of 2 % each; 3 and 4 are bad; the last segment is a variable
+    urls = [f"http://c.org/s{i % 50}/{i}" for i in range(1500)]
+    labels = [(i, int(i % 50 not in (3, 4)), 0) for i in range(1500) if i % 3]
+    # values of a variable that are bad by chance only
+    urls += [f"http://d.org/{i % 40}/{i}" for i in range(800)]
+    labels += [(1500 + i, int(i * 7919 % 101 > 20), 0) for i in range(800)]
+    got = {r["page_id"]: r for r in url_verdicts(*url_tables(spark, urls, labels)).collect()}
+    assert {i for i in range(1500) if got[i]["verdict"] == "block"} == {i for i in range(1500) if i % 50 in (3, 4)}
+    assert {got[i]["verdict"] for i in range(1500, 2300)} == {"allow"}
+    assert len({got[i]["template"] for i in range(1500, 2300)}) == 1
+
+
+def test_bad_branches_below_the_eighth_segment_are_rejected(spark):
+    deep = "http://e.org/" + "a/b/c/d/e/f/g/h/" + "i/" * 20
+    urls = [f"{deep}{kind}/{i}" for kind in ("blog", "spam") for i in range(40)]
+    labels = [(i, int(i < 40), 0) for i in range(80)]
+    urls += [f"http://f.org/{'s/' * i}" for i in range(1, 400)]  # no segment tells these apart
+    labels += [(80 + i, int(i % 3 > 0), 0) for i in range(399)]
+    got = {r["page_id"]: r for r in url_verdicts(*url_tables(spark, urls, labels)).collect()}
+    assert len(got) == len(urls)
+    assert {got[i]["verdict"] for i in range(40)} == {"allow"}
+    assert {got[i]["verdict"] for i in range(40, 80)} == {"block"}
+    assert len({got[i]["template"] for i in range(80, 479)}) <= 9
+
+
 def test_url_plan_has_no_python(spark):
     plan_text = url_verdicts(*url_tables(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan_text)
