@@ -25,12 +25,15 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
                     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of 24 or more, which are maximal
-# what makes a value's context one of credentials, beyond the fixed pattern
+# what makes a value's context one of credentials, beyond the fixed pattern; it
+# ends where the value starts. Runs of blanks are never given back (linear time).
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer"""
-    r"""|(?:api|access|private|client|secret)[_-]?key|login)["']?[\x20\t]{0,8}"""
-    r"""(?:[:=]>?|(?<=password)[\x20]is)[\x20\t]{0,8}["']?([^\s"'<>]{6,})""", re.IGNORECASE | re.ASCII)
-HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "key", "login")
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer"""
+    r"""|(?:api|access|private|client|secret)[_-]?key|login)"""
+    r"""(?:["']?[\x20\t]*+[:=]>?|(?<=password)[\x20\t]++is)[\x20\t]*+"""
+    r"""|(?:bearer|basic)[\x20\t]++)["']?(?=[^\s"'<>]{6})""", re.IGNORECASE | re.ASCII)
+VALUE = re.compile(r"""[^\s"'<>]+""", re.ASCII)
+HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "basic", "key", "login")
 MIN_VALUE = 6
 # fewest guesses (as a power of ten) for a value to be taken for a real secret
 MIN_LOG10_GUESSES = 10.0
@@ -61,14 +64,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def guess_spans(text: str, base: list[tuple[int, int, int]], ranks: dict[str, int],
                 least: float) -> list[tuple[int, int, int, float]]:
     """``(start, kind, end, log10 guesses)`` of credential values outside the
-    ``base`` spans that would take 10**``least`` guesses or more."""
+    ``base`` spans that would take 10**``least`` guesses or more.
+
+    A value may be the context of the next one ('Authorization: Bearer ...');
+    the search goes on inside it, but each value is judged once."""
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
-    found, k, reach = [], 0, 0
+    found, k, reach, judged = [], 0, 0, 0
     for m in CONTEXT.finditer(text):
-        value = m.group(1).rstrip(".,;:!?)]}")
-        start, end = m.start(1), m.start(1) + len(value)
+        start = m.end()
+        if start < judged:
+            continue
+        judged = VALUE.match(text, start).end()
+        value = text[start:judged].rstrip(".,;:!?)]}")
+        end = start + len(value)
         while k < len(base) and base[k][0] < end:
             reach = max(reach, base[k][2])
             k += 1

@@ -19,7 +19,7 @@ from reelscope.llm.language_id import accepted, identify
 from reelscope.llm.mixing import mix, mixed_documents, targets
 from reelscope.llm.nearest import nearest_neighbours
 from reelscope.llm.packing import pack, plan
-from reelscope.llm.secret_scan import scan, secret_scan, word_ranks
+from reelscope.llm.secret_scan import CONTEXT, scan, secret_scan, word_ranks
 from reelscope.llm.sharding import histogram_shards
 from reelscope.llm.url_filter import url_verdicts
 from tests.conftest import SF_SMALL
@@ -62,6 +62,22 @@ def test_guessable_values_are_left_alone():
     assert scan("login: password123", ranks)[5] == 0
 
 
+@pytest.mark.parametrize("before", [
+    "client_key" + " " * 12 + "= ", "pwd =" + "\t " * 9, "password" + " " * 3 + "is" + " " * 20, "Authorization: Bearer ",
+    "authorization = 'Basic  ", '"Authorization": "Bearer\t', "curl -H bearer ", "auth: client_key = ", "login" + " " * 50_000 + ":"])
+def test_values_are_found_after_any_blanks_and_schemes(before):
+    got = scan(f"x {before}q8Zr2LxV0pT7sKd9, y", word_ranks("word_bpe_49k.json"))
+    assert got[4] == f"guess:{len(before) + 2}:{len(before) + 18}" and got[5] == 1
+
+
+def test_contexts_take_linear_time():
+    ranks = word_ranks("word_bpe_49k.json")
+    for text in ("password " * 40_000, "login" + " " * 400_000, "bearer" + "\t" * 400_000, "auth: bearer " * 30_000):
+        assert scan(text, ranks)[5] == 0
+    assert len(list(CONTEXT.finditer("pwd=" * 100_000))) == 99_998
+    assert scan("a basic understanding of a bearer instrument", ranks)[5] == 0
+
+
 def test_guess_cost_takes_the_cheapest_segments():
     words = {"password": 10, "summer": 100}
     cost = lambda v: log10_guesses(v, words)
