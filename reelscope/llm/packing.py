@@ -57,10 +57,19 @@ class WordIds:
     punctuation. Words are encoded by the library, many at a time; each piece
     of a word ends with one id marked as a word end, which tells where each
     word's ids stop. Words outside plain Latin letters are encoded alone.
+
+    The library takes the literals of special tokens, as they are written, out
+    of a text first and encodes what is between them by itself; so does
+    ``encode``. No literal is left in the words then, but one may arise when
+    they are lower-cased, so for words the library is told to look for none.
     """
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = special
+        # the longest of those that start at a place, as the library takes them
+        self.literal = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.tokenizer.encode_special_tokens = True
         ids = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(ids.values()) + 1, bool)
@@ -110,7 +119,19 @@ class WordIds:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and where each text's end."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        texts = pc.fill_null(texts, "")
+        if not any(pc.any(pc.match_substring(texts, literal)).as_py() for literal in self.special):
+            return self._encode(texts)
+        parts = [self.literal.split(t) for t in texts.to_pylist()]  # every second one is a literal
+        own = np.array([self.special[p] if k % 2 else -1 for t in parts for k, p in enumerate(t)], np.int64)
+        between = pa.array([None if k % 2 else p for t in parts for k, p in enumerate(t)], pa.string())
+        ids, ends = self._encode(pc.fill_null(between, ""))
+        ids = np.insert(ids, ends[own >= 0], own[own >= 0].astype("<u4"))
+        return ids, (ends + np.cumsum(own >= 0))[np.cumsum([len(t) for t in parts]) - 1]
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without special tokens."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         words = split.flatten().dictionary_encode()
         at = words.indices.to_numpy()
         of = self.ids(words.dictionary.to_pylist())

@@ -259,6 +259,22 @@ def test_word_by_word_ids_are_those_of_the_text(monkeypatch):
     assert encode(ids, texts) == want
 
 
+def test_special_tokens_are_those_of_the_tokenizer_as_loaded(spark):
+    rng = random.Random(3)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", " ", "\n", "a", "don't", "Caf\u00e9.",
+            "e", "\u0301", "\u0130", "\u65e5\u672c"]
+    texts = ["end <|endoftext|> start", "<|endoftext|>", "x<|endoftext|><|startoftext|>y", "<|EndOfText|> <|\u017ftartoftext|>", None, ""]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[0] == [806, 49407, 1572]
+    ids = packing.WordIds("word_bpe_49k.json")
+    assert encode(ids, texts) == want
+    assert [encode(ids, [t])[0] for t in texts] == want
+    got = {r["doc_id"]: r["ids_crc32"] for r in pack(documents(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: zlib.crc32(np.array([*w, 0], "<u4").tobytes()) for i, w in enumerate(want)}
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_plan_uses_every_piece_once_and_few_sequences(seed):
     rng = random.Random(seed)
