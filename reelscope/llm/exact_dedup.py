@@ -7,8 +7,9 @@ binary-fuse filter per bucket. For a new batch:
 1. its own duplicates are grouped first, by digest with map-side combine, so
    a huge group of copies is one row from here on;
 2. the filters screen the distinct new digests, bucket by bucket; a negative
-   is new for certain;
-3. positives join the snapshot's exact buckets on the digest;
+   is new for certain and meets the snapshot no more;
+3. positives join the snapshot's exact buckets on the digest, which tells hits
+   from false positives;
 4. groups of two or more are compared byte for byte: the smallest and the
    largest text under a digest must be the same (map-side combine again, so
    no task holds a group). Should a digest ever cover different texts, its
@@ -17,10 +18,14 @@ binary-fuse filter per bucket. For a new batch:
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reelscope.llm import fuse_filter
 from reelscope.llm.common import SPACES, carry, importable, land, pick, small
@@ -59,7 +64,7 @@ def _bucketed(groups: DataFrame, buckets: int) -> DataFrame:
     return groups.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
+def _keys(digests: Iterable[bytes]) -> np.ndarray:
     """The first eight bytes of each digest."""
     return np.frombuffer(b"".join(d[:8].ljust(8, b"\0") for d in digests), "<u8")
 
@@ -78,22 +83,20 @@ def build_filters(snapshot: DataFrame) -> DataFrame:
 
 
 def screen(new: DataFrame, filters: DataFrame) -> DataFrame:
-    """``new`` (bucket, digest) with ``maybe``: false where the snapshot
+    """``new`` (bucket, digest, ...) with ``maybe``: false where the snapshot
     cannot hold the digest."""
     importable(new.sparkSession)
 
-    def probe(rows: pd.DataFrame, flt: pd.DataFrame) -> pd.DataFrame:
-        out = rows[["digest"]].copy()
-        out["maybe"] = False
-        if len(rows) and len(flt):
-            f = flt.iloc[0]
-            out["maybe"] = fuse_filter.maybe(_keys(rows["digest"]), int(f["seed"]),
-                                             int(f["length"]), f["slots"])
-        return out
+    def probe(rows: pa.Table, flt: pa.Table) -> pa.Table:
+        maybe = np.zeros(rows.num_rows, bool)
+        if rows.num_rows and flt.num_rows:
+            f = flt.slice(0, 1).to_pylist()[0]
+            maybe = fuse_filter.maybe(_keys(rows.column("digest").to_pylist()), int(f["seed"]),
+                                      int(f["length"]), f["slots"])
+        return rows.append_column("maybe", pa.array(maybe, pa.bool_()))
 
-    return (new.select("bucket", "digest").groupBy("bucket")
-            .cogroup(filters.groupBy("bucket"))
-            .applyInPandas(probe, "digest binary, maybe boolean"))
+    return (new.groupBy("bucket").cogroup(filters.groupBy("bucket"))
+            .applyInArrow(probe, StructType([*new.schema, StructField("maybe", BooleanType())])))
 
 
 def _false_digests(texts: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -125,14 +128,14 @@ def exact_dedup(docs: DataFrame, is_snapshot=in_first_half, digest=sha256,
     buckets = max(1, -(-rows.count() // bucket_keys))
     old, new = (land(_bucketed(g, buckets), "buckets") for g in (old, new))
 
-    screened = screen(new, build_filters(old))
-    hits = (new.join(screened.where("maybe").select("digest"), "digest")
-            .select("bucket", "digest", F.col("n").alias("n2"), F.col("best").alias("best2")))
-    both = old.join(hits, ["bucket", "digest"], "left").select(
-        "digest", (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"),
-        F.least("best", F.coalesce("best2", "best")).alias("best"))
-    unseen = new.join(old.select("bucket", "digest"), ["bucket", "digest"], "left_anti")
-    groups = land(both.unionByName(unseen.select("digest", "n", "best")), "groups")
+    screened = land(screen(new, build_filters(old)), "screened")
+    unseen = screened.where("not maybe").select("digest", "n", "best")
+    positives = screened.where("maybe").select("bucket", "digest", F.col("n").alias("n2"), F.col("best").alias("best2"))
+    # hits, false positives and what only the snapshot holds
+    both = old.join(positives, ["bucket", "digest"], "full").select(
+        "digest", (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"),
+        F.least("best", "best2").alias("best"))
+    groups = land(both.unionByName(unseen), "groups")
 
     false = land(_false_digests(texts, rows, groups), "false_digests")
     sha = F.lower(F.hex("digest")) if digest is sha256 else F.lower(F.hex(sha256(F.col("norm"))))

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from reelscope.llm import exact_dedup as exact_dedup_module
 from reelscope.llm import fuse_filter
 from reelscope.llm.components import components
 from reelscope.llm.exact_dedup import exact_dedup, without_copies
@@ -50,6 +51,16 @@ def test_snapshot_changes_no_result(spark, old):
     assert rows_of(got, *COLUMNS) == brute_exact(messy())
 
 
+@pytest.mark.parametrize("says", [True, False])
+def test_the_screen_decides_what_meets_the_snapshot(spark, monkeypatch, says):
+    rows = [(i, f"text {i % 20}") for i in range(40)]  # each once in the snapshot, once new
+    real = exact_dedup_module.screen
+    monkeypatch.setattr(exact_dedup_module, "screen", lambda new, filters: real(new, filters).withColumn("maybe", F.lit(says)))
+    got = exact_dedup(documents(spark, rows), is_snapshot=lambda d: d < 20, bucket_keys=10).collect()
+    # a filter that says maybe costs work only; what it denies is not looked up
+    assert Counter(r["group_size"] for r in got) == ({2: 40} if says else {1: 80})
+
+
 def test_false_digests_are_settled_by_the_text(spark):
     def weak(norm):
         return F.unhex(F.lpad(F.hex(F.length(norm) % 5), 16, "0"))
