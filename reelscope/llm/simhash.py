@@ -114,6 +114,20 @@ def close_pairs(fps: DataFrame, distance: int = MAX_DISTANCE, hot: int = HOT) ->
     return pairs.unionByName(_hot_links(crowd, distance))
 
 
+def _labelled(docs: DataFrame, words: int, distance: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` per row, and ``(fp, root, component_id)`` per
+    fingerprint: its component, and the smallest doc_id there, if any."""
+    marked = land(fingerprints(docs, words), "fingerprints")
+    values = land(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "values")
+    links = close_pairs(values.select("fp"), distance, hot)
+    # components over fingerprints, then the smallest doc_id of each
+    of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    rooted = (values.join(of.withColumnRenamed("node", "fp"), "fp", "left")
+              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked, land(rooted.join(smallest, "root").select("fp", "root", "component_id"), "components")
+
+
 def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE,
                    hot: int = HOT) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
@@ -123,30 +137,28 @@ def simhash_groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     doc_id take part; the component id ignores them (null if it has no
     other). An empty table gives an empty one.
     """
-    marked = land(fingerprints(docs, words), "fingerprints")
-    values = land(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "values")
-    links = close_pairs(values.select("fp"), distance, hot)
-    # components over fingerprints, then the smallest doc_id of each
-    of = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rooted = (values.join(of.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = land(rooted.join(smallest, "root").select("fp", "component_id"), "components")
+    marked, labels = _labelled(docs, words, distance, hot)
     return marked.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``docs`` with the smallest doc_id of each group, all columns kept.
-    Rows without doc_id stay; rows that repeat an id that stays count once."""
+    """``docs`` with the smallest doc_id of each group, all columns kept; of
+    a group without any doc_id one row. Rows that repeat an id that stays
+    count once."""
     rows, back = carry(docs, doc_id="bigint", text="string")
-    groups = simhash_groups(rows.where("doc_id is not null").select("doc_id", "text"), words, distance)
-    stays = (groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("k"))
+    marked, labels = _labelled(rows.select("doc_id", "text"), words, distance, HOT)
+    stays = (marked.join(labels, "fp").where("doc_id = component_id").groupBy(F.col("doc_id").alias("k"))
              .agg(F.count(F.lit(1)).alias("n")))
+    # the key must not change between the reads, so it is landed
+    nameless = land(rows.where("doc_id is null").withColumn("key", F.monotonically_increasing_id()), "nameless")
+    first = (fingerprints(nameless.select(F.col("key").alias("doc_id"), "text"), words)
+             .groupBy("fp").agg(F.min("doc_id").alias("key"))
+             .join(labels.where("component_id is null"), "fp").groupBy("root").agg(F.min("key").alias("key")))
     stays = land(stays, "representatives")
     here = F.col("doc_id") == F.col("k")
     once = rows.join(stays.where("n = 1"), here, "left_semi")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     more = (rows.join(stays.where("n > 1"), here, "left_semi").withColumn("place", place)
             .where("place = 1").drop("place"))
-    return back(once.unionByName(more).unionByName(rows.where("doc_id is null")))
+    return back(once.unionByName(more).unionByName(nameless.join(first, "key", "left_semi").drop("key")))

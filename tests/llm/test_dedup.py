@@ -132,6 +132,15 @@ def test_simhash_matches_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots.values()))
 
 
+def test_groups_without_ids_keep_one_row(spark):
+    texts = ["one two three four", "five six seven eight", "nine ten eleven twelve", ""]
+    rows = [(None, texts[0]), (7, texts[0]), (3, texts[0]), (None, texts[0])]
+    rows += [(None, texts[1])] * 4 + [(None, texts[2])] + [(None, None), (None, ""), (None, " ")]
+    kept = one_per_group(documents(spark, rows))
+    got = Counter((r["doc_id"], (r["text"] or "").strip()) for r in kept.collect())
+    assert got == {(3, texts[0]): 1, (None, texts[1]): 1, (None, texts[2]): 1, (None, ""): 1}
+
+
 def test_fingerprint_of_long_text():
     text = " ".join(f"w{i % 977}" for i in range(70000))
     assert fingerprint(text) % (1 << 64) == brute_fingerprint(text)
