@@ -20,6 +20,13 @@ NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
 # texts are long, whatever the size of the Arrow batch.
 CHUNK_ROWS = 512
 
+# Bytes of an Arrow batch on its way to a Python worker, beside Spark's bound
+# on its rows: a batch of whole texts is held on both sides at once.
+BATCH_BYTES = 8 << 20
+# So that a worker gives freed memory back between batches and stages.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+                 "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -65,13 +72,30 @@ def land(df: DataFrame, name: str) -> DataFrame:
 
 def importable(spark: SparkSession) -> None:
     """Lets Python workers on this machine import the package from the
-    checkout; on a cluster it is installed or shipped with ``--py-files``."""
+    checkout; on a cluster it is installed or shipped with ``--py-files``.
+    Also bounds what workers hold: see BATCH_BYTES and WORKER_MEMORY."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
 
 
+_held: dict = {}
+
+
+def hold(key: tuple, make: Callable[[], object]):
+    """What a Python worker keeps between tasks: one object at a time (a
+    tokenizer with its remembered words), so that workers that serve several
+    stages do not pile them up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
     """``mapInArrow`` in chunks of CHUNK_ROWS: ``fn`` takes and gives a dict of
     columns (lists or arrays); it may give more or fewer rows than it took."""

@@ -1,8 +1,9 @@
 """Language identification: known words first, then character n-grams.
 
 The model is two bounded tables, counted by Spark over a bounded sample of
-labelled documents: the most frequent words with their count per language,
-and the most frequent character n-grams of the sample's distinct words. A
+labelled documents: each language's most frequent words with their count in
+every language, and each language's most frequent character n-grams among
+the distinct words of its sample. A
 known word scores by its log frequency in each language. An unseen word
 falls back to its longest known n-grams: those of four characters, else of
 three, two, one. A document's score per language is the sum over its words;
@@ -14,16 +15,20 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm.common import CHUNK_ROWS, carry, importable, land, pick
 
 # Labelled documents per language to learn from (about: a hash of doc_id is
-# compared with this share), and the sizes of the two tables.
+# compared with this share), and the sizes of the two tables, which all
+# languages share evenly, whatever their sizes; LEAST_ITEMS each at least.
 SAMPLE_PER_LANGUAGE = 5_000
-MAX_WORDS = 50_000
-MAX_GRAMS = 50_000
+MAX_WORDS = 60_000
+MAX_GRAMS = 60_000
+LEAST_ITEMS = 1_000
+# The hash of doc_id has so many values: fine enough for any count of documents.
+SPREAD = 1 << 62
 LONGEST_GRAM = 4
 # A word is known if the sample holds it so often.
 MIN_COUNT = 2
@@ -112,32 +117,42 @@ def _stacked(table: dict[str, np.ndarray], languages: int) -> tuple[dict[str, in
 
 
 def _table(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
-    """Smoothed log frequency per language from rows (item, language, count)."""
+    """Smoothed log frequency per language from rows (item, language, count).
+    An item that a language's sample does not hold costs it as much as any
+    other language, so one with few counts gains nothing by knowing little."""
     at = {lang: i for i, lang in enumerate(languages)}
     counts: dict[str, np.ndarray] = {}
     for item, lang, n in rows:
         counts.setdefault(item, np.zeros(len(languages)))[at[lang]] = n
     sums = sum(counts.values(), np.zeros(len(languages))) + SMOOTHING * max(1, len(counts))
-    return {item: np.log((c + SMOOTHING) / sums) for item, c in counts.items()}
+    return {item: np.log(np.where(c > 0, (c + SMOOTHING) / sums, SMOOTHING / sums.max()))
+            for item, c in counts.items()}
 
 
 def _most_frequent(counts: DataFrame, item: str, most: int, least: int) -> list:
-    top = (counts.groupBy(item).agg(F.sum("n").alias("total")).where(F.col("total") >= least)
-           .orderBy(F.desc("total"), item).limit(most).select(item))
+    """The counts, in all languages, of each language's ``most`` items that
+    it holds ``least`` times or more. Bounded by languages x ``most`` items."""
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), item))
+    top = (counts.where(F.col("n") >= least).withColumn("place", place).where(F.col("place") <= most)
+           .select(item).distinct())
     return [tuple(r) for r in counts.join(F.broadcast(top), item).select(item, "lang", "n").collect()]
 
 
+def shares(sizes: dict[str, int], per_language: int) -> dict[str, int]:
+    """Out of SPREAD, how much of each language is sampled; never nothing."""
+    return {lang: max(1, min(SPREAD, SPREAD * per_language // n)) for lang, n in sizes.items()}
+
+
 def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model from ``(doc_id, text, lang)``. What reaches the driver is
-    bounded by the table sizes and the number of languages."""
+    bounded by the table sizes and the number of languages. A language whose
+    sample has no word is not learned: flat counts would win texts that no
+    language knows."""
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
-    if not languages:
+    if not sizes:
         return Model([], {}, {})
-    spread = 1 << 20
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
-                           for x in (lang, min(spread, spread * per_language // n))])
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(spread)) < share[F.col("lang")])
+    share = F.create_map(*[F.lit(x) for pair in shares(sizes, per_language).items() for x in pair])
+    sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(SPREAD)) < share[F.col("lang")])
     word = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
     words = land(sample.select("lang", word).where("word <> ''").groupBy("lang", "word")
                  .agg(F.count(F.lit(1)).alias("n")), "words")
@@ -147,8 +162,10 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model
                        for n in range(1, LONGEST_GRAM + 1)])
     grams = land(words.select("lang", F.explode(grams).alias("gram")).groupBy("lang", "gram")
                  .agg(F.count(F.lit(1)).alias("n")), "grams")
-    return Model(languages, _table(_most_frequent(words, "word", MAX_WORDS, MIN_COUNT), languages),
-                 _table(_most_frequent(grams, "gram", MAX_GRAMS, 1), languages))
+    languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    each = [max(LEAST_ITEMS, most // max(1, len(languages))) for most in (MAX_WORDS, MAX_GRAMS)]
+    return Model(languages, _table(_most_frequent(words, "word", each[0], MIN_COUNT), languages),
+                 _table(_most_frequent(grams, "gram", each[1], 1), languages))
 
 
 def predictor(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE):

@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelscope.llm.common import importable, land, pick
+from reelscope.llm.common import hold, importable, land, pick
 
 CAP = 2048
 VOCABULARY = "word_bpe_49k.json"
@@ -143,9 +142,8 @@ class WordIds:
         return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy())]
 
 
-@lru_cache(maxsize=2)
 def word_ids(vocabulary: str) -> WordIds:
-    return WordIds(vocabulary)
+    return hold(("word_ids", vocabulary), lambda: WordIds(vocabulary))
 
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),

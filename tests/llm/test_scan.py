@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reelscope.llm import language_id, packing, sharding
@@ -117,6 +118,57 @@ def test_language_of_odd_rows(spark):
     assert not {1, 2, 3, 15} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_shares_of_any_number_of_documents():
+    got = language_id.shares({"a": 10**10, "b": 3, "c": 10**13}, 5000)
+    assert got["b"] == language_id.SPREAD and all(0 < x <= language_id.SPREAD for x in got.values())
+    assert abs(got["a"] / language_id.SPREAD * 10**10 - 5000) < 1e-3 and abs(got["c"] / language_id.SPREAD * 10**13 - 5000) < 1e-3
+
+
+def unequal_languages():
+    """30 languages of 4 to 91 documents, each of its own words and some of a
+    neighbour's; one more whose only text has no word twice, one without words."""
+    rng = random.Random(9)
+    stems = [["".join(rng.choice("aeiou") + rng.choice("bcdfghjklmnpqrstvwxyz") for _ in range(2)) for _ in range(40)]
+             for _ in range(30)]
+    rows = [(k * 1000 + i, " ".join(rng.choice(stems[k] if rng.random() < 0.8 else stems[(k + 1) % 30])
+                                    for _ in range(25)) + rng.choice(["", " zzq" + str(i), " ... 12"]), f"l{k:02}", "s")
+            for k in range(30) for i in range(4 + 3 * k)]
+    return [*rows, (90001, " ".join(f"once{c}" for c in "abcdefgh"), "flat", "s"), (90005, "12 34", "none", "s")]
+
+
+def test_no_language_is_crowded_out_and_every_score_is_right(spark):
+    rows = unequal_languages()
+    docs = documents(spark, rows)
+    known = docs.where(~language_id.held_out(F.col("doc_id")))
+    model = language_id.train(known.select("doc_id", "text", "lang"))
+    assert len(model.languages) == 31 and "none" not in model.languages
+    got = {r["doc_id"]: r for r in identify(docs).collect()}
+    right = 0
+    for d, text, lang, _ in rows:
+        total, letters = [0.0] * 31, 0
+        for w in re.split(r"[\W\d_]+", text.lower()):
+            if not w:
+                continue
+            letters += 1
+            if w in model.words:
+                found = [model.word_rows[model.words[w]]]
+            else:
+                for n in range(4, 0, -1):
+                    grams = [f"<{w}>"[i:i + n] for i in range(len(w) + 3 - n)]
+                    found = [model.gram_rows[model.grams[g]] for g in grams if g in model.grams]
+                    if found:
+                        break
+            if found:
+                total = [t + sum(f[k] for f in found) / len(found) for k, t in enumerate(total)]
+        best = max(range(31), key=lambda k: (total[k], -k))
+        share = 1 / sum(math.exp(t - total[best]) for t in total)
+        assert got[d]["lang_pred"] == (model.languages[best] if letters else "und")
+        assert math.isclose(got[d]["score"], share if letters else 0, rel_tol=1e-6)
+        right += got[d]["lang_pred"] == lang
+    assert right > 0.97 * len(rows)
+    assert {got[d]["lang_pred"] for d, _, lang, _ in rows if lang.startswith("l")} <= {f"l{k:02}" for k in range(30)}
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     model = language_id.Model(["a", "b"], {"known": np.array([0.0, -1.0])},
                               {"xyz": np.array([-5.0, -1.0]), "q": np.array([-1.0, -3.0])})
@@ -214,7 +266,6 @@ def test_packing_matches_the_tokenizer(spark):
     rows = messy() + [(900, "x\u0301 e\u0301\u00a0y \u2003z don't'll it's"), (901, "日本語 テキスト 😀😀"), (902, "İİ ΣΑΣ ﬁ ½")]
     docs = documents(spark, rows)
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = Counter()
     for d, t, *_ in rows:
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
@@ -250,7 +301,6 @@ def test_word_by_word_ids_are_those_of_the_text(monkeypatch):
         "x\u0301. e\u0301 \u2003z don't'll it's. 'tis, a's; \u00c9. \u00f1... \u00df!! 12,5 a.b. \u0130. x\u00d7. \u00f7, \u00bd. 's. 'S, \x1c. a\x00.",
         "\u65e5\u672c\u8a9e\u3002 \u30c6\u30ad\u30b9\u30c8 \U0001f600\U0001f600.", "  \u0130\u0130 \u03a3\u0391\u03a3. \ufb01 \u212b, A\u030a. \u01c4.\xa0x "]
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert encode(packing.WordIds("word_bpe_49k.json"), texts) == want
     monkeypatch.setattr(packing, "REMEMBERED", 10)  # a small memory changes nothing
