@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelscope.llm.common import table
+from reelscope.llm.contamination import contaminated
 from reelscope.llm.exact_dedup import exact_dedup
 from reelscope.llm.language_id import identify
 from reelscope.llm.mixing import mix
@@ -59,6 +60,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,7 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filters, op2_language_id, op3_exact_dedup, op4_mix_sources, op5_nearest_neighbours,
         op6_histogram_shards, op7_secret_scan, op8_best_fit_packing, op9_simhash_near_dedup,
-        op10_substring_dedup, pipeline)
+        op10_substring_dedup, op11_decontamination, pipeline)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -155,8 +160,38 @@ select d.doc_id, len(d.words)::bigint as n_words, coalesce(k.n_removed, 0)::bigi
 from d left join k on k.rid = d.rid
 """
 
+_ASCII = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+with b as (
+  select coalesce(item_id::varchar, '') as item_id, coalesce(regexp_extract_all({_LOWER}, '{_ASCII}'), []::varchar[]) as words
+  from benchmark),
+v as (
+  select distinct item_id, least(10, len(words)) as size, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') as k
+  from (select item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) as i from b where len(words) > 0)),
+d as (
+  select row_number() over () as rid, doc_id, coalesce(regexp_extract_all({_LOWER}, '{_ASCII}'), []::varchar[]) as words
+  from documents),
+w as (
+  select rid, size, i, array_to_string(words[i:i + size - 1], ' ') as k
+  from (select rid, words, size, unnest(range(1, len(words) - size + 2)) as i
+        from d, (select distinct size from v) where len(words) >= size)),
+m as (
+  select w.rid, w.i, w.size, v.item_id from w join v on v.size = w.size and v.k = w.k),
+h as (
+  select rid, count(distinct place) as n_hit from (select rid, unnest(range(i, i + size)) as place from m) group by rid),
+n as (
+  select rid, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as ids from m group by rid)
+select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_hit,
+       coalesce(n.n_items, 0)::bigint as n_items, sha256(coalesce(n.ids, '')) as items_sha256,
+       h.n_hit is not null as contaminated
+from d left join h on h.rid = d.rid left join n on n.rid = d.rid
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_mix_sources": MIX,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op11_decontamination": DECONTAMINATION,
 }
