@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelscope.llm.common import table
 from reelscope.llm.contamination import contaminated
 from reelscope.llm.exact_dedup import exact_dedup
+from reelscope.llm.hard_negatives import hard_negatives, shifted_labels
 from reelscope.llm.language_id import identify
 from reelscope.llm.mixing import mix
 from reelscope.llm.nearest import nearest_neighbours
@@ -64,6 +65,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,7 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filters, op2_language_id, op3_exact_dedup, op4_mix_sources, op5_nearest_neighbours,
         op6_histogram_shards, op7_secret_scan, op8_best_fit_packing, op9_simhash_near_dedup,
-        op10_substring_dedup, op11_decontamination, pipeline)
+        op10_substring_dedup, op11_decontamination,
+        op12_hard_negatives, pipeline)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -189,9 +195,36 @@ select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint a
 from d left join h on h.rid = d.rid left join n on n.rid = d.rid
 """
 
+HARD_NEGATIVES = """
+with r as (
+  select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)),
+s as (
+  select a.row as anchor, a.vec_id as anchor_id, r.vec_id, r.label = a.label as same,
+         list_inner_product(a.v, r.v)::bigint as score
+  from r a join r on r.row <> a.row and len(r.v) = len(a.v) where a.vec_id % 50 = 0),
+p as (
+  select *, row_number() over (partition by anchor order by score desc, vec_id) as positive_rank from s where same
+  qualify positive_rank <= 5),
+n as (
+  select p.anchor_id, p.vec_id as positive_id, p.positive_rank, s.vec_id as negative_id, p.score as positive_score,
+         s.score as negative_score,
+         row_number() over (partition by p.anchor, p.positive_rank order by s.score desc, s.vec_id) as rank
+  from p join s on s.anchor = p.anchor and not s.same
+    and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+  qualify rank <= 3)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score,
+       positive_rank::int as positive_rank
+from n
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_mix_sources": MIX,
     "op10_substring_dedup": SUBSTRING_DEDUP,
     "op11_decontamination": DECONTAMINATION,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }
