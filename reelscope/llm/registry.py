@@ -10,6 +10,7 @@ from reelscope.llm.common import table
 from reelscope.llm.contamination import contaminated
 from reelscope.llm.exact_dedup import exact_dedup
 from reelscope.llm.hard_negatives import hard_negatives, shifted_labels
+from reelscope.llm.importance import resample
 from reelscope.llm.language_id import identify
 from reelscope.llm.mixing import mix
 from reelscope.llm.nearest import nearest_neighbours
@@ -69,6 +70,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(shifted_labels(table(spark, sf_dir, "embeddings")))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_url_filters, op2_language_id, op3_exact_dedup, op4_mix_sources, op5_nearest_neighbours,
         op6_histogram_shards, op7_secret_scan, op8_best_fit_packing, op9_simhash_near_dedup,
         op10_substring_dedup, op11_decontamination,
-        op12_hard_negatives, pipeline)
+        op12_hard_negatives, op13_importance_resampling, pipeline)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -221,10 +226,57 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 from n
 """
 
+# crc32 byte by byte, with its table of 256 remainders made from the polynomial
+RESAMPLING = rf"""
+with c as materialized (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda r, x: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end)
+              order by i) as crc
+  from (select unnest(range(256)) as i)),
+d as (
+  select row_number() over () as rid, doc_id, coalesce(regexp_extract_all({_LOWER}, '{_ASCII}'), []::varchar[]) as words
+  from documents),
+b as (
+  select coalesce(regexp_extract_all({_LOWER}, '{_ASCII}'), []::varchar[]) as words from benchmark),
+f as (
+  select rid, true as ours, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as f
+  from d
+  union all
+  select 0, false, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])))
+  from b),
+n as (
+  select rid, ours, f, count(*) as n from f group by rid, ours, f),
+h as (
+  select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(f))),
+                  lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::bigint)),
+                lambda r, x: xor(r >> 8, crc[(xor(r, x) & 255) + 1])), 4294967295) % 10000 as bucket
+  from (select distinct f from n), c),
+k as (
+  select bucket, coalesce(sum(n) filter (ours), 0) as s, coalesce(sum(n) filter (not ours), 0) as t
+  from n join h using (f) group by bucket),
+g as (
+  select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+                                 / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain
+  from k),
+w as (
+  select rid, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n)::double)::bigint as weight
+  from n join h using (f) join g using (bucket) where ours group by rid),
+e as (
+  select d.rid, d.doc_id, coalesce(w.n_features, 0) as n_features, coalesce(w.weight, 0) as weight, len(d.words) >= 20 as enough,
+         coalesce(w.weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(d.doc_id::varchar, '')), 1, 8))::bigint
+                                                         + 0.5::double) / 4294967296::double)))::bigint as score
+  from d left join w on w.rid = d.rid),
+r as (
+  select *, row_number() over (partition by enough order by score desc, doc_id nulls first) as place,
+         25 * count(*) over (partition by enough) // 100 as drawn
+  from e)
+select doc_id, n_features, weight, score, case when enough and place <= drawn then place end as rank from r
+"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_mix_sources": MIX,
     "op10_substring_dedup": SUBSTRING_DEDUP,
     "op11_decontamination": DECONTAMINATION,
     "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_importance_resampling": RESAMPLING,
 }
