@@ -15,7 +15,7 @@ these views map it onto those inputs so every query reads whole tables:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelscope.operators.cleaning import clean_catalog
@@ -113,6 +113,29 @@ def landed_comments(spark: SparkSession, sf_dir: str, hot: bool = False) -> Data
     )
 
 
+def threaded_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments (lines) that reply to each other, a third of all in thread 1.
+    Within an order, line ``k`` replies to line ``k - 1`` (every fifth order)
+    or ``k / 2``; some to a comment that is gone, in a circle, or to nothing."""
+    order = F.col("l_orderkey")
+    lines = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+                                                     "l_extendedprice")
+    k = F.col("k")
+    thread = F.when(order % 3 == 0, F.lit("1")).otherwise(_s("l_orderkey"))
+
+    def reply(to):
+        return F.concat(F.lit("t1_"), _s("l_orderkey"), F.lit("-"), to.cast("string"))
+
+    parent = (F.when((order % 70 == 9) & (k == 2), reply(k + 1)).when((order % 70 == 9) & (k == 3), reply(k - 1))
+              .when((order % 50 == 7) & (k == 2), F.lit("t1_gone")).when((order % 90 == 11) & (k == 1), F.lit(None))
+              .when(k == 1, F.concat(F.lit("t3_"), thread)).when(order % 5 == 0, reply(k - 1))
+              .otherwise(reply(F.floor(k / 2))))
+    return table(spark, sf_dir, "lineitem").withColumn("k", F.row_number().over(lines)).select(
+        thread.alias("submission_id"), F.concat_ws("-", _s("l_orderkey"), k.cast("string")).alias("comment_id"),
+        F.when((order % 4 != 1) | (k != 4), F.col("l_shipdate").cast("timestamp")).alias("created_utc"),
+        parent.alias("parent_id"))
+
+
 def comments_flat(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """Flat comments with the submission fields the shows job reads.
 

@@ -385,3 +385,64 @@ SELECT ph.title AS show_title, ph.director AS show_director, po.submission_id, p
        CAST(coalesce(co.n, 0) AS BIGINT) AS n_comments, coalesce(co.d, 0) AS comments_digest
 FROM ph JOIN po ON ph.phrase <> '' AND contains(' ' || po.nt || ' ', ' ' || ph.phrase || ' ')
 LEFT JOIN co ON co.submission_id = po.submission_id"""
+
+ORACLE["comment_tree"] = """
+WITH RECURSIVE li AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
+                                                                l_quantity, l_extendedprice) AS k FROM lineitem),
+c AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN '1' ELSE CAST(l_orderkey AS VARCHAR) END AS thread,
+    concat_ws('-', l_orderkey, k) AS id, CASE WHEN l_orderkey % 4 <> 1 OR k <> 4 THEN l_shipdate END AS created,
+    CASE WHEN l_orderkey % 70 = 9 AND k = 2 THEN concat_ws('-', l_orderkey, 3)
+         WHEN l_orderkey % 70 = 9 AND k = 3 THEN concat_ws('-', l_orderkey, 2)
+         WHEN l_orderkey % 50 = 7 AND k = 2 THEN 'gone'
+         WHEN k = 1 THEN NULL
+         WHEN l_orderkey % 5 = 0 THEN concat_ws('-', l_orderkey, k - 1)
+         ELSE concat_ws('-', l_orderkey, k // 2) END AS parent
+  FROM li),
+j AS (SELECT c.*, p.id IS NOT NULL AS found FROM c LEFT JOIN c p ON p.thread = c.thread AND p.id = c.parent),
+t AS (
+  SELECT thread, id, id AS root, 0 AS depth, parent IS NOT NULL AS orphan,
+         [{'at': coalesce(created, DATE '0001-01-01'), 'id': id}] AS path
+  FROM j WHERE NOT found
+  UNION ALL
+  SELECT j.thread, j.id, t.root, t.depth + 1, t.orphan,
+         list_append(t.path, {'at': coalesce(j.created, DATE '0001-01-01'), 'id': j.id})
+  FROM j JOIN t ON t.thread = j.thread AND t.id = j.parent WHERE j.found)
+SELECT c.thread AS submission_id, c.id AS comment_id, t.root AS root_id, CAST(t.depth AS INTEGER) AS depth,
+       CASE WHEN t.id IS NOT NULL THEN row_number() OVER (PARTITION BY t.id IS NULL, c.thread ORDER BY t.depth, t.path) END AS position,
+       CASE WHEN t.id IS NULL THEN 'cycle' WHEN t.orphan THEN 'orphan' ELSE 'tree' END AS state
+FROM c LEFT JOIN t ON t.thread = c.thread AND t.id = c.id"""
+
+ORACLE["shows_runs"] = with_(CATALOG_CLEAN, COMMENTS_FLAT[1:]) + """
+, built AS (
+  SELECT show_id, duration, show_id % 3 <> 0 AS one, show_id % 2 = 0 AND (show_id % 3 = 0 OR show_id % 4 = 0) AS two
+  FROM catalog_clean k WHERE "cast" IS NOT NULL AND (show_id % 3 <> 0 OR show_id % 2 = 0)
+    AND EXISTS (SELECT 1 FROM comments_flat c WHERE c.show_title = k.title AND c.show_director = k.director)),
+l AS (
+  SELECT show_id, CASE WHEN two THEN 'r2' ELSE 'r1' END AS run_id,
+         CASE WHEN two AND show_id % 4 = 0 THEN duration || ' (new)' ELSE duration END AS duration,
+         CAST(one AS BIGINT) + CAST(two AS BIGINT) AS n_versions
+  FROM built)
+SELECT *, 'folded' AS folded_run, duration AS folded_duration FROM l"""
+
+ORACLE["indexed_mentions"] = with_(PHRASE_POSTS) + """
+SELECT item_id, post_id, source, listed FROM mentions, (VALUES (false), (true)) v(listed)
+WHERE NOT listed OR source IN ('src0', 'src3', 'src7', 'src11')"""
+
+ORACLE["description_words"] = r"""
+WITH w AS (
+  SELECT doc_id AS post_id, word, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS word FROM documents)
+  WHERE length(word) >= 3 AND regexp_matches(word, '\p{L}') GROUP BY doc_id, word),
+f AS (SELECT word, count(*) AS n_docs FROM w GROUP BY word),
+r AS (
+  SELECT post_id, word, round(n * ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + n_docs)), 9) AS weight
+  FROM w JOIN f USING (word))
+SELECT post_id, word AS description_word FROM r
+QUALIFY row_number() OVER (PARTITION BY post_id ORDER BY weight DESC, word) = 1"""
+
+ORACLE["catalog_positions"] = with_(CATALOG_RAW) + """
+, t AS (SELECT CAST(show_id AS BIGINT) AS show_id,
+               CASE WHEN CAST(show_id AS BIGINT) % 3 = 0 THEN 'Same title' ELSE title END AS title FROM catalog_raw)
+SELECT show_id, title, row_number() OVER (ORDER BY title DESC NULLS LAST, show_id) AS position FROM t"""

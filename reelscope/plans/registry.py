@@ -176,6 +176,35 @@ def channel_mentions(spark, sf_dir):
                           channels="src0  src3 src7\tsrc11")
 
 
+@query
+def indexed_mentions(spark, sf_dir):
+    """J3 by a landed positional index: posts are tokenized once, in two runs,
+    and searched twice, all channels and then some; the second search's
+    channels are marked."""
+    from reelscope.operators.phrase_index import PhraseIndex
+    from reelscope.session import scratch_path
+    index = PhraseIndex(spark, scratch_path(spark, "phrase-index"), buckets=16)
+    posts = fx.posts(spark, sf_dir)
+    for run, rows in (("even", posts.where("post_id % 2 = 0")), ("odd", posts.where("post_id % 2 = 1"))):
+        index.add(rows, run)
+    found = index.search(fx.phrases(spark, sf_dir), ["item_id"])
+    some = index.search(fx.phrases(spark, sf_dir), ["item_id"], channels="src0  src3 src7\tsrc11")
+    return found.withColumn("listed", F.lit(False)).unionByName(some.withColumn("listed", F.lit(True)))
+
+
+@query
+def description_words(spark, sf_dir):
+    """The most distinctive word of every post, by a document-frequency
+    table that is landed first."""
+    from reelscope.operators.sizing import materialize
+    from reelscope.operators.words import comment_words, distinctive_words, document_frequencies
+    posts = fx.posts(spark, sf_dir)
+    words = comment_words(posts, ("post_id",), "text")
+    frequencies = materialize(document_frequencies(words))
+    best = distinctive_words(words, frequencies, posts.count(), ("post_id",))
+    return best.select("post_id", "description_word")
+
+
 @query
 def ranked_mentions(spark, sf_dir):
     """Per (title, channel) the 3 matching posts with the highest
@@ -255,6 +284,14 @@ def flat_comments(spark, sf_dir):
     return flat.withColumn("created_utc", F.col("created_utc").cast("string"))
 
 
+@query
+def comment_tree(spark, sf_dir):
+    """Depth, top comment and breadth-first place of every comment, with
+    a third of all in one thread, missing parents and circles."""
+    from reelscope.operators.threads import comment_tree as tree
+    return tree(fx.threaded_comments(spark, sf_dir))
+
+
 @query
 def discussions_roundtrip(spark, sf_dir):
     """Landed discussions written as JSON lines, read back with
@@ -375,6 +412,35 @@ def append_then_replace(spark, sf_dir):
     return counts["append"].join(counts["replace"], ["show_id", "run_id"], "full_outer")
 
 
+@query
+def shows_runs(spark, sf_dir):
+    """K4 K5: run r0 is staged and never published; r1 is published once
+    though it runs twice; r2 overlaps it and is merged by key, so that only
+    what is new or changed is stored; then all are folded into one run. Per
+    show: its latest run, how many versions are stored, and what the folded
+    run holds."""
+    from reelscope.session import scratch_path
+    from reelscope.sources.runs import Runs
+    built = shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir), fx.comments_flat(spark, sf_dir), max_per_row=2000)
+    runs, key = Runs(spark, scratch_path(spark, "shows-runs")), ["show_id"]
+    sid = F.col("show_id")
+    runs.stage(built, "r0")
+    for _ in range(2):
+        runs.append(built.where(sid % 3 != 0), "r1")
+    changed = F.when(sid % 4 == 0, F.concat("duration", F.lit(" (new)"))).otherwise(F.col("duration"))
+    runs.upsert(built.where(sid % 2 == 0).withColumn("duration", changed), "r2", key)
+
+    def first_parts(rows, *columns):
+        return rows.where("part = 0").select("show_id", *columns)
+
+    latest = first_parts(runs.latest(key), "run_id", "duration")
+    stored = first_parts(runs.read()).groupBy("show_id").agg(F.count(F.lit(1)).alias("n_versions"))
+    out = latest.join(stored, "show_id")
+    runs.compact(key, "folded")
+    folded = first_parts(runs.read(), F.col("run_id").alias("folded_run"), F.col("duration").alias("folded_duration"))
+    return out.join(folded, "show_id")
+
+
 @query
 def catalog_partitioned_bucketed(spark, sf_dir):
     """K3: clean catalog partitioned by type and bucketed on release_year in
@@ -539,6 +605,16 @@ def titles_desc(spark, sf_dir):
         .select("show_id", "title", "director")
 
 
+@query
+def catalog_positions(spark, sf_dir):
+    """O1: every raw catalog row's place by title descending (nulls last), a
+    third of the titles equal, then by show id."""
+    from reelscope.operators.ordering import with_position
+    raw = fx.catalog_raw(spark, sf_dir).select(F.col("show_id").cast("bigint").alias("show_id"), "title")
+    raw = raw.withColumn("title", F.when(F.col("show_id") % 3 == 0, F.lit("Same title")).otherwise(F.col("title")))
+    return with_position(raw, F.desc("title"), "show_id")
+
+
 @query
 def title_counts_raw(spark, sf_dir):
     """A1 O2: titles entered most often in the raw catalog (nulls counted

@@ -114,7 +114,7 @@ def drop_scratch(spark: SparkSession) -> int:
     tables whose files are there. To be called when no result that reads
     them is needed any more; returns their number."""
     for t in spark.catalog.listTables():
-        if not t.isTemporary and any(_location(spark, t.name).endswith(p.split("://")[-1]) for p in _scratch):
+        if not t.isTemporary and any(table_location(spark, t.name).endswith(p.split("://")[-1]) for p in _scratch):
             spark.sql(f"DROP TABLE IF EXISTS {t.name}")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in _scratch:
@@ -125,6 +125,6 @@ def drop_scratch(spark: SparkSession) -> int:
     return n
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def table_location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").collect()
     return rows[0]["data_type"] if rows else ""

@@ -9,11 +9,14 @@ written under its own ``batch_id`` directory, which a replay overwrites
 (exactly once, no operator state, no watermark). The sinks hold what every
 batch added; the read functions merge it: alerts by their id, windows by
 sums. Alerts older than ``lateness`` against earlier batches are kept and
-marked, so that they can be counted.
+marked, so that they can be counted: each batch leaves the newest time seen so
+far in one small file for the next, so no batch reads what others stored.
+``compact_window_sink`` folds closed batches into one base.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +25,8 @@ from pyspark.sql import types as T
 
 from reelscope.operators.mentions import match_mentions
 from reelscope.operators.sizing import materialize
+from reelscope.sources import files
+from reelscope.sources.writers import overwrite_partition
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -76,15 +81,14 @@ def mentions_per_window(events: DataFrame, catalog: DataFrame, window: str = "1
 def _run(stream: DataFrame, per_batch: Callable[[DataFrame, int], DataFrame], schema: str,
          sink: str, checkpoint: str, available_now: bool):
     """Each micro-batch's ``per_batch`` rows into its own directory of ``sink``."""
-    def store(rows: DataFrame) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(sink))
-
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        store(per_batch(batch, batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        rows = per_batch(batch, batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        overwrite_partition(rows, sink, "batch_id", batch_id)
 
     spark = stream.sparkSession
-    store(spark.createDataFrame([], schema))  # no rows: the sink exists, whatever comes
+    # no rows: the sink exists, whatever comes
+    (spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(sink))
     w = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
@@ -102,8 +106,7 @@ def run_alert_stream(spark: SparkSession, directory: str, catalog: DataFrame, si
     catalog = materialize(catalog.select("show_id", "title", "director"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-        earlier = spark.read.schema(ALERTS).parquet(sink).where(F.col("batch_id") < batch_id)
-        newest = earlier.agg(F.max("ts")).first()[0]
+        newest = _newest_before(spark, sink, batch, batch_id)
         limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
         return mention_alerts(batch, catalog).withColumn("late", F.coalesce(F.col("ts") < limit, F.lit(False)))
 
@@ -111,6 +114,22 @@ def run_alert_stream(spark: SparkSession, directory: str, catalog: DataFrame, si
                 available_now)
 
 
+def _newest_before(spark: SparkSession, sink: str, batch: DataFrame, batch_id: int) -> str | None:
+    """The newest time of all earlier batches, from the file that the one
+    before left; leaves the same for the next. A replayed batch finds both
+    files there and changes nothing; older files go."""
+    folder = f"{sink}/_newest"  # names that start so are no data to Spark
+    told = sorted(int(n) for n in files.names(spark, folder) if n.isdigit())
+    earlier = [n for n in told if n < batch_id]
+    newest = files.read_text(spark, f"{folder}/{earlier[-1]}") if earlier else ""
+    if batch_id not in told:
+        own = batch.agg(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        files.write_once(spark, f"{folder}/{batch_id}", max(newest, own or ""))
+    for n in earlier[:-1]:
+        files.delete(spark, f"{folder}/{n}")
+    return newest or None
+
+
 def read_alert_sink(spark: SparkSession, sink: str) -> DataFrame:
     """One row per event; of an event that several batches held, the first."""
     rows = spark.read.schema(ALERTS).parquet(sink)
@@ -156,7 +175,49 @@ def run_window_stream(spark: SparkSession, directory: str, catalog: DataFrame, s
                 available_now)
 
 
-def read_window_sink(spark: SparkSession, sink: str) -> DataFrame:
-    """Totals of every (window, show) over all batches (map-side combined)."""
-    return spark.read.schema(WINDOWS).parquet(sink).groupBy("w", "show_id", "title").agg(
+def _base(spark: SparkSession, sink: str) -> tuple[int, str | None]:
+    """The last batch in the sink's base, and where that is."""
+    told = [n[:-5].split(".") for n in files.names(spark, f"{sink}/_base") if n.endswith(".json")]
+    upto, name = max(((int(a), b) for a, b in told), default=(-1, None))
+    return upto, name and f"{sink}/_base/{name}"
+
+
+def _window_rows(spark: SparkSession, sink: str) -> DataFrame:
+    upto, base = _base(spark, sink)
+    rows = spark.read.schema(WINDOWS).parquet(sink).where(F.col("batch_id") > upto)
+    return rows if base is None else rows.unionByName(spark.read.schema(WINDOWS).parquet(base))
+
+
+def _totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("w", "show_id", "title").agg(
         F.sum("n_mentions").alias("n_mentions"), F.sum("score_cents").alias("score_cents"))
+
+
+def read_window_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """Totals of every (window, show) over the base and all later batches
+    (map-side combined)."""
+    return _totals(_window_rows(spark, sink))
+
+
+def compact_window_sink(spark: SparkSession, sink: str) -> int:
+    """Folds all batches but the newest, which may be replayed, into the base;
+    gives the number of batches folded. The new base becomes visible in one
+    step, by a file that names it; folders that it covers are deleted then, by
+    this run or, if it is killed, by the next. Not to be run twice at once."""
+    upto, base = _base(spark, sink)
+    stored = sorted(int(n.split("=")[1]) for n in files.names(spark, sink) if n.startswith("batch_id="))
+    closed = [b for b in stored if b > upto][:-1]
+    if closed:
+        name = uuid.uuid4().hex
+        rows = _window_rows(spark, sink).where(F.col("batch_id") <= closed[-1])
+        (_totals(rows).withColumn("batch_id", F.lit(closed[-1]).cast("bigint"))
+         .write.parquet(f"{sink}/_base/{name}"))
+        files.write_once(spark, f"{sink}/_base/{closed[-1]}.{name}.json", "{}")
+        upto, base = closed[-1], f"{sink}/_base/{name}"
+    for b in stored:
+        if b <= upto:
+            files.delete(spark, f"{sink}/batch_id={b}")
+    for n in files.names(spark, f"{sink}/_base"):
+        if base and base.rsplit("/", 1)[1] not in n:
+            files.delete(spark, f"{sink}/_base/{n}")
+    return len(closed)
