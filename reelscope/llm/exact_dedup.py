@@ -128,7 +128,9 @@ def exact_dedup(docs: DataFrame, is_snapshot=in_first_half, digest=sha256,
     buckets = max(1, -(-rows.count() // bucket_keys))
     old, new = (land(_bucketed(g, buckets), "buckets") for g in (old, new))
 
-    screened = land(screen(new, build_filters(old)), "screened")
+    # landed, so that no task holds the Python workers of both steps at once
+    filters = land(build_filters(old), "filters")
+    screened = land(screen(new, filters), "screened")
     unseen = screened.where("not maybe").select("digest", "n", "best")
     positives = screened.where("maybe").select("bucket", "digest", F.col("n").alias("n2"), F.col("best").alias("best2"))
     # hits, false positives and what only the snapshot holds
