@@ -446,3 +446,7 @@ ORACLE["catalog_positions"] = with_(CATALOG_RAW) + """
 , t AS (SELECT CAST(show_id AS BIGINT) AS show_id,
                CASE WHEN CAST(show_id AS BIGINT) % 3 = 0 THEN 'Same title' ELSE title END AS title FROM catalog_raw)
 SELECT show_id, title, row_number() OVER (ORDER BY title DESC NULLS LAST, show_id) AS position FROM t"""
+
+ORACLE["merged_sketches"] = with_(CATALOG_CLEAN) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, count(*) - count("{c}") AS n_nulls,
+       count(DISTINCT CAST("{c}" AS VARCHAR)) AS exact, true AS is_close FROM catalog_clean""" for c, t in _PROFILE_COLS)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reelscope.functions.text import title_key
 from reelscope.operators import explore, shows as shows_ops
 from reelscope.operators.nesting import explode_actors
+from reelscope.operators.quality import Measure
 from reelscope.plans import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,10 +327,11 @@ def _raw_csv(spark, sf_dir):
         short = F.concat_ws(",", *token[:-1])
         line = (F.when(sid % 226 == 0, F.concat(F.concat_ws(",", *token), F.lit(",x")))
                 .when(sid % 113 == 0, short).otherwise(F.concat_ws(",", *token)))
-        header = spark.createDataFrame([(0, ",".join(order))], "n int, value string")
-        lines = header.unionByName(rows.select(F.lit(1).alias("n"), line.alias("value")))
-        # one sorted file: its header comes first
-        lines.repartition(1).sortWithinPartitions("n").select("value").write.text(f"{base}/{name}")
+        # lines as they are, each file with its header: a column of that name
+        # and a separator and quote that no line has
+        (rows.select(line.alias(",".join(order))).write.options(header=True, sep="\x01", quote="\x02", escapeQuotes=False,
+                                                               ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+         .csv(f"{base}/{name}"))
     return [f"{base}/odd", f"{base}/even"]
 
 
@@ -492,14 +494,13 @@ def schema_profile(spark, sf_dir):
 
 
 CHECKS = [
-    ("no_null_titles", "SELECT count(*) FROM catalog_clean WHERE title IS NULL", 0),
-    ("unique_show_ids", "SELECT count(*) - count(DISTINCT show_id) FROM catalog_clean", 0),
+    ("no_null_titles", Measure("catalog_clean", "count_if(title IS NULL)"), 0),
+    ("unique_show_ids", Measure("catalog_clean", "count(*) - count(DISTINCT show_id)"), 0),
     ("keys_unique_after_clean",
      "SELECT count(*) FROM (SELECT title, director FROM catalog_clean "
      "GROUP BY title, director HAVING count(*) > 1) d", 0),
     ("string_is_not_number", "SELECT '0' AS v", 0),
-    ("null_equals_none",
-     "SELECT max(release_year) FROM catalog_clean WHERE show_id < 0", None),
+    ("null_equals_none", Measure("catalog_clean", "max(release_year) FILTER (WHERE show_id < 0)"), None),
     ("no_rows_fails", "SELECT title FROM catalog_clean WHERE 1 = 0", None),
     ("every_show_has_comments",
      "SELECT count(*) FROM catalog_clean k WHERE NOT EXISTS (SELECT 1 FROM comments_flat c "
@@ -507,6 +508,22 @@ CHECKS = [
 ]
 
 
+@query
+def merged_sketches(spark, sf_dir):
+    """Profiles of three parts of the clean catalog, stored as mergeable
+    sketches and merged without reading a row again; whether the distinct
+    counts are within five per cent (three standard errors) of the exact ones."""
+    from reelscope.operators.quality import column_sketches, merged_profile, schema_profile as profile
+    from reelscope.session import scratch_path
+    path, catalog = scratch_path(spark, "sketches"), fx.catalog_clean(spark, sf_dir)
+    for part in range(3):
+        column_sketches(catalog.where(F.col("show_id") % 3 == part)).write.mode("append").parquet(path)
+    exact = profile(catalog, exact=True).select("column_name", F.col("n_distinct").alias("exact"))
+    return merged_profile(spark.read.parquet(path)).join(exact, "column_name").select(
+        "column_name", "data_type", "n_rows", "n_nulls", "exact",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)).alias("is_close"))
+
+
 @query
 def checks(spark, sf_dir):
     """Q1: SQL assertions over the clean catalog and comments."""

@@ -1,0 +1,104 @@
+"""Comment trees and total order against plain Python."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelscope.operators.ordering import with_position
+from reelscope.operators.threads import comment_tree
+from reelscope.operators.words import comment_words, distinctive_words, document_frequencies, with_description_word
+
+COMMENT = "submission_id string, comment_id string, parent_id string, created_utc int"
+
+
+def brute(rows):
+    best = {}
+    for s, c, p, t in rows:
+        if s is not None and c is not None:
+            key = (t is not None, t or 0, p is not None, p or "")
+            if (s, c) not in best or key < best[s, c][0]:
+                best[s, c] = (key, p, t)
+    parent = {}
+    for (s, c), (_, p, _) in best.items():
+        if p is not None and p.startswith("t1_"):
+            p = p[3:]
+        parent[s, c] = None if p is None or p.startswith("t3_") or p == s else (s, p)
+    children, out = defaultdict(list), {}
+    order = lambda n: (best[n][0][:2], n[1])
+    for n, p in parent.items():
+        children[p if p in parent else (n[0], None)].append(n)
+    for s in {n[0] for n in parent}:
+        level, depth, place = [(n, n, parent[n] is not None) for n in sorted(children[s, None], key=order)], 0, 0
+        while level:
+            for n, root, orphan in level:
+                place += 1
+                out[n] = (root[1], depth, place, "orphan" if orphan else "tree")
+            level = [(k, root, orphan) for n, root, orphan in level for k in sorted(children[n], key=order)]
+            depth += 1
+    return {n: out.get(n, (None, None, None, "cycle")) for n in parent}
+
+
+def got(spark, rows):
+    df = spark.createDataFrame(rows, COMMENT).repartition(3)
+    found = comment_tree(df).collect()
+    out = {(r["submission_id"], r["comment_id"]): (r["root_id"], r["depth"], r["position"], r["state"]) for r in found}
+    assert len(out) == len(found)
+    return out
+
+
+def test_trees_with_everything(spark):
+    rows = [("s", "a", "t3_s", 5), ("s", "b", "t1_a", 3), ("s", "c", "t1_a", 1), ("s", "d", "s", 2), ("s", "e", "c", 9),
+            ("s", "f", "t1_b", 9), ("s", "g", "t1_gone", 1), ("s", "h", "t1_g", 1), ("s", "i", None, None),
+            ("s", "x", "t1_y", 1), ("s", "y", "t1_x", 1), ("s", "z", "t1_x", 1), ("s", "self", "t1_self", 1),
+            ("u", "a", "t3_u", 1), ("u", "b", "t1_c", 1),  # c is in another thread
+            ("s", "b", "t1_a", 3), ("s", "b", "t1_d", 8),  # repeated
+            (None, "a", "t3_s", 1), ("s", None, "t3_s", 1)]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_deep_chain_and_hot_thread(spark):
+    chain = [("deep", f"c{i}", "t3_deep" if i == 0 else f"t1_c{i - 1}", 500 - i) for i in range(300)]
+    rng = random.Random(2)
+    hot = [("hot", f"h{i}", "t3_hot" if i < 5 or rng.random() < 0.3 else f"t1_h{rng.randrange(i)}", rng.randrange(50)) for i in range(600)]
+    rows = chain + hot + [(f"s{i}", "only", f"t3_s{i}", i) for i in range(50)]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_no_comments(spark):
+    assert got(spark, []) == {}
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_positions_with_a_third_of_the_keys_equal(spark, partitions):
+    rng = random.Random(partitions)
+    rows = [(i, None if i % 50 == 0 else "same" if i % 3 == 0 else f"k{rng.randrange(200)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, title string").repartition(5)
+    found = with_position(df, F.desc("title"), "id", partitions=partitions)
+    want = sorted(rows, key=lambda r: ([-ord(c) for c in r[1]] + [0] if r[1] is not None else [1], r[0]))
+    assert {r["id"]: r["position"] for r in found.collect()} == {i: n for n, (i, _) in enumerate(want, 1)}
+    # rows that the order does not tell apart all get places, and are split
+    equal = with_position(df.select(F.lit(1).alias("one")), "one", partitions=partitions)
+    assert sorted(r["position"] for r in equal.collect()) == list(range(1, 3001))
+    assert with_position(df.where("false"), "title").count() == 0
+
+
+def test_equal_keys_are_spread_over_tasks(spark):
+    df = spark.range(6000).select(F.lit("same").alias("title"))
+    rows = df.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(6, "title", "__row")
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 2000
+    assert with_position(df, "title", partitions=6).agg(F.max("position")).first()[0] == 6000
+
+
+def test_distinctive_word_is_null_without_words_and_taken_into_shows(spark):
+    rows = [("1", "good good movie zebra"), ("2", "good movie"), ("3", "good"), ("4", "12 a !"), ("5", None), ("6", "tie yyy xxx")]
+    comments = spark.createDataFrame(rows, "comment_id string, body string")
+    words = comment_words(comments)
+    best = distinctive_words(words, document_frequencies(words), 6)
+    got = {r["comment_id"]: r["description_word"] for r in with_description_word(comments, best).collect()}
+    assert got == {"1": "zebra", "2": "movie", "3": "good", "4": None, "5": None, "6": "tie"}
+    # a table from elsewhere: a word it lacks counts as in one document
+    other = spark.createDataFrame([("zebra", 500), ("movie", 2)], "word string, n_docs bigint")
+    assert {r["comment_id"]: r["description_word"] for r in distinctive_words(words, other, 1000).collect()}["1"] == "good"
