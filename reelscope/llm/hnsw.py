@@ -28,19 +28,22 @@ def levels(ids: np.ndarray) -> np.ndarray:
     return np.floor(-np.log(u / 2.0 ** 53) / np.log(DEGREE)).astype(int)
 
 
-def _apart(x: np.ndarray, norms: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Squared distances of queries (B, d) to nodes (B, m), less the query's norm."""
-    return norms[ids] - 2 * np.matmul(x[ids], q[:, :, None])[:, :, 0]
+def _apart(x: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of queries (B, d) to nodes (B, m), from differences:
+    nothing cancels, however far from the origin the vectors are."""
+    apart = x[ids]
+    apart -= q[:, None, :]
+    return np.einsum("bmd,bmd->bm", apart, apart)
 
 
-def beam(x, norms, graph, q, entry, ef):
+def beam(x, graph, q, entry, ef):
     """``(ids, distances)`` of the ``ef`` nearest found, sorted; -1 for none."""
     b, n = len(q), len(graph)
     ef = min(ef, n)
     ids = np.full((b, ef), -1, np.int32)
     dist = np.full((b, ef), np.inf, np.float32)
     done = np.ones((b, ef), bool)
-    ids[:, 0], dist[:, 0], done[:, 0] = entry, _apart(x, norms, entry[:, None], q)[:, 0], False
+    ids[:, 0], dist[:, 0], done[:, 0] = entry, _apart(x, entry[:, None], q)[:, 0], False
     seen = np.zeros((b, n + 1), bool)
     seen[:, n] = True  # where -1 points
     seen[np.arange(b), entry] = True
@@ -60,7 +63,7 @@ def beam(x, norms, graph, q, entry, ef):
         new[:, 1:] &= near[:, 1:] != near[:, :-1]
         seen[live[:, None], near] = True
         seen[:, n] = True
-        d = np.where(new, _apart(x, norms, near, q[live]), np.inf).astype(np.float32)
+        d = np.where(new, _apart(x, near, q[live]), np.inf).astype(np.float32)
         all_d = np.concatenate([dist[live], d], 1)
         best = np.argsort(all_d, axis=1, kind="stable")[:, :ef]
         dist[live] = np.take_along_axis(all_d, best, 1)
@@ -76,6 +79,7 @@ def _choose(x, ids, dist, most):
     """Up to ``most`` of the candidates (rows sorted by distance, -1 last):
     first those nearer to the node than to any chosen one, then the nearest."""
     v = x[ids]
+    v -= v[:, :1].copy()  # around the nearest, so that little cancels
     norms = (v * v).sum(2)
     between = norms[:, :, None] + norms[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1))
     keep = np.zeros(ids.shape, bool)
@@ -95,7 +99,7 @@ def _sorted(ids, dist):
     return np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
 
 
-def _link_back(x, norms, graph, sources, targets):
+def _link_back(x, graph, sources, targets):
     """Adds each source to its targets' neighbours, choosing anew where full."""
     most = graph.shape[1]
     src = np.repeat(sources, targets.shape[1])
@@ -114,7 +118,7 @@ def _link_back(x, norms, graph, sources, targets):
         added[row, col] = src[np.repeat(first[part], count[part]) + col]
         own = nodes[part]
         ids = np.concatenate([graph[own], added], 1)
-        dist = np.where(ids < 0, np.inf, _apart(x, norms, ids, x[own]) + norms[own][:, None])
+        dist = np.where(ids < 0, np.inf, _apart(x, ids, x[own]))
         ids, dist = _sorted(ids, dist)
         ids, dist = ids[:, :3 * most], dist[:, :3 * most]
         full = (ids >= 0).sum(1) > most
@@ -129,7 +133,6 @@ def _link_back(x, norms, graph, sources, targets):
 def build(x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
     """Neighbour arrays per layer, lowest first, over float32 vectors in
     order of falling level; layer ``l`` holds the first ``sizes[l]``."""
-    norms = (x * x).sum(1)
     layers: list[np.ndarray] = []  # top first
     for layer in range(len(sizes) - 1, -1, -1):
         n = sizes[layer]
@@ -140,13 +143,12 @@ def build(x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
             own = np.arange(at, at + step)
             q = x[own]
             if at:
-                entry = descend(x, norms, layers, q)
+                entry = descend(x, layers, q)
                 entry[entry >= at] = 0  # a node of the layer above that is yet to come
-                ids, dist = beam(x, norms, graph[:at], q, entry, EF_BUILD)
-                dist = dist + norms[own][:, None]
+                ids, dist = beam(x, graph[:at], q, entry, EF_BUILD)
             else:
                 ids, dist = np.zeros((step, 0), np.int32), np.zeros((step, 0), np.float32)
-            mates = norms[own][None, :] + norms[own][:, None] - 2 * q @ q.T
+            mates = _apart(x, np.broadcast_to(own, (step, step)), q)
             np.fill_diagonal(mates, np.inf)
             some = min(step - 1, EF_BUILD // 2)
             pick = np.argsort(mates, axis=1, kind="stable")[:, :some]
@@ -156,28 +158,27 @@ def build(x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
             if ids.shape[1]:
                 chosen = _choose(x, ids[:, :EF_BUILD], dist[:, :EF_BUILD], DEGREE)
                 graph[own, :DEGREE] = chosen
-                _link_back(x, norms, graph, own, chosen)
+                _link_back(x, graph, own, chosen)
             at += step
         layers.append(graph)
     return layers[::-1]
 
 
-def descend(x, norms, layers_top_first, q):
+def descend(x, layers_top_first, q):
     """The node from which each query enters the next layer."""
     entry = np.zeros(len(q), np.int64)
     for graph in layers_top_first:
-        ids, _ = beam(x, norms, graph, q, entry, 4)
+        ids, _ = beam(x, graph, q, entry, 4)
         entry = ids[:, 0].astype(np.int64)
     return entry
 
 
 def search(x: np.ndarray, layers: list[np.ndarray], q: np.ndarray, ef: int = EF_SEARCH) -> np.ndarray:
     """Ids of the nearest nodes found per query, sorted by distance, -1 for none."""
-    norms = (x * x).sum(1)
     out = []
     for i in range(0, len(q), BATCH):
         part = q[i:i + BATCH]
-        entry = descend(x, norms, layers[:0:-1], part)
-        ids, _ = beam(x, norms, layers[0], part, entry, ef)
+        entry = descend(x, layers[:0:-1], part)
+        ids, _ = beam(x, layers[0], part, entry, ef)
         out.append(np.pad(ids, ((0, 0), (0, ef - ids.shape[1])), constant_values=-1))
     return np.concatenate(out) if out else np.zeros((0, ef), np.int32)

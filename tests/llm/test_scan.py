@@ -510,6 +510,39 @@ def test_neighbours_of_odd_rows(spark):
     assert nearest_neighbours(df.where("false")).count() == 0
 
 
+def clustered(n, dim=16, seed=3):
+    rng = np.random.default_rng(seed)
+    return rng.normal(0, 1, (20, dim))[rng.integers(0, 20, n)] + rng.normal(0, 0.2, (n, dim))
+
+
+def recall(spark, vectors, every=20, k=10, **how):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id bigint, embedding array<double>")
+    got = defaultdict(list)
+    for r in nearest_neighbours(df, every, k, **how).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    hits = asked = 0
+    for q in range(0, len(vectors), every):
+        apart = np.array([math.dist(vectors[q], v) for v in vectors])
+        want = [i for i in np.lexsort((np.arange(len(vectors)), apart)) if i != q][:k]
+        assert all(math.isclose(s, apart[i], rel_tol=1e-12) for _, i, s in got[q])
+        hits += len({i for _, i, _ in got[q]} & set(want))
+        asked += k
+    return hits / asked
+
+
+@pytest.mark.parametrize("change", [lambda v: v + 1e4, lambda v: v * 1e20, lambda v: v * 1e-25, lambda v: v * 1e170,
+                                    lambda v: v * 1e-170, lambda v: v + 1e9,
+                                    lambda v: v * np.where(np.arange(len(v)) % 7 == 0, 1e200, 1.0)[:, None]])
+def test_recall_at_any_place_and_size(spark, change):
+    assert recall(spark, change(clustered(1500))) >= 0.9
+
+
+def test_recall_with_a_third_of_a_shard_equal(spark):
+    v = clustered(8192)
+    v[np.arange(0, 8190, 3)] = v[0]
+    assert recall(spark, v, every=150, shard_rows=8192) >= 0.97
+
+
 def test_recall_over_several_shards(spark):
     df = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.1')}/embeddings.parquet")
     rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in df.collect()]
