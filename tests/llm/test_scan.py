@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelscope.llm import language_id, packing, sharding
+from reelscope.llm import guess_cost, language_id, packing, sharding
 from reelscope.llm.guess_cost import log10_guesses
 from reelscope.llm.language_id import accepted, identify
 from reelscope.llm.mixing import mix, mixed_documents, targets
@@ -93,6 +94,70 @@ def test_guess_cost_takes_the_cheapest_segments():
         assert cost(v) <= len(v) * 2.0 + 1e-9
 
 
+def segment_bits(v, i, j, words):
+    """Costs of ``v[i:j]`` as one segment, by definition."""
+    part, bits, out = v[i:j], guess_cost._char_bits, []
+    if j - i == 1:
+        out.append(bits(part))
+    for word in {part.lower(), part.lower().translate(guess_cost.LEET)}:
+        if word in words and j - i >= 3:
+            out.append(1 + math.log2(words[word] + 2) + sum(a != b for a, b in zip(part.lower(), word))
+                       + guess_cost._case_bits(part))
+    if guess_cost.DATE.fullmatch(part):
+        out.append(1 + math.log2(119 if j - i == 4 else 119 * 365) + 2 * (not part.isdigit()))
+    shortest = next((p for p in range(1, j - i) if (j - i) % p == 0 and part == part[:p] * ((j - i) // p)), j - i)
+    if (j - i) // shortest >= (3 if shortest == 1 else 2):
+        out.append(1 + exhaustive(part[:shortest], words) / math.log10(2) + math.log2((j - i) // shortest))
+    for step, cost in ((guess_cost._next_key, math.log2(47)), (guess_cost._next_code, math.log2(26))):
+        ways = [step(a, b) for a, b in zip(part, part[1:])]
+        if j - i >= 3 and None not in ways:
+            out.append(1 + cost + math.log2(j - i) + 3 * (1 + sum(a != b for a, b in zip(ways, ways[1:]))))
+    return min(out, default=math.inf)
+
+
+def exhaustive(v, words):
+    best = [0.0] + [math.inf] * len(v)
+    for j in range(1, len(v) + 1):
+        best[j] = min(best[i] + segment_bits(v, i, j, words) for i in range(j))
+    return best[-1] * math.log10(2)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_guess_cost_is_the_least_over_all_segmentations(seed):
+    rng = random.Random(seed)
+    words = {w: r for r, w in enumerate(["the", "pass", "password", "hunter", "summer", "word", "aba", "der", "fgh"])}
+    letters = ["aab", "abc12", "asdfghjkl", "asdf1234", "12019-", "password", "aA4@s$"][seed]
+    pieces = ["asdfg", "hunter2", "password", "2019", "12-31-2019", "aaaa", "abab", "ab1ab1", "1234", "The", "p4ss", "zaq1"]
+    values = ["asdfghunter2", "password123password123", "aaaabab", "aaabaaabaaab", "qwertyqwerty", "abcabcabcab", "19991999"]
+    values += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 13))) for _ in range(300)]
+    values += ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5))) for _ in range(150)]
+    values += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) * rng.randrange(2, 9) + rng.choice(pieces)
+               for _ in range(80)]
+    for v in values:
+        want = exhaustive(v, words)
+        assert math.isclose(log10_guesses(v, words), want, rel_tol=1e-9, abs_tol=1e-9), v
+        assert math.isclose(log10_guesses(v, words, None, 6.0), min(want, 6.0), rel_tol=1e-9, abs_tol=1e-9), v
+
+
+def test_long_values_end_soon():
+    words = {"pass": 1}
+    rng = random.Random(1)
+    for v in ("q1W" * 4000, "pass" * 5000, "a" * 20000, "qwerty" * 2000, "".join(rng.choice("abcdefgh1234") for _ in range(3000))):
+        began = time.process_time()
+        log10_guesses(v, words, None, 40.0)
+        assert time.process_time() - began < 20
+
+
+def test_prose_placeholders_and_addresses_are_no_secrets():
+    ranks = word_ranks("word_bpe_49k.json")
+    for text in ("Bearer documentation-of-the-standard", "basic understanding_of_things", "the password is https://example.com/reset/page",
+                 "secret = os.environ['DATABASE_SECRET_9']", "pwd: ${DB_PASSWORD_FROM_ENV}", "pwd = {{vault.path.secret1}}",
+                 "client_key = process.env.CLIENT_KEY_2", "login: $SERVICE_LOGIN_2", "pwd=password123password123"):
+        assert scan(text, ranks)[5] == 0, text
+    for text in ("Bearer q8Zr2LxV0pT7sKd9", "pwd: $2b$10$N9qo8uLOickgx2ZMRZoMye", "login: postgres://u:Xk9vQ2mZ7pL@h/db"):
+        assert scan(text, ranks)[5] == 1, text
+
+
 # ------------------------------------------------------------ language
 
 def test_language_held_out_accuracy(spark):
