@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelscope.llm.common import NOT_SPACE, carry, land, pick, small
+from reelscope.operators.ordering import with_position
 
 RATIOS = (3, 1, 2)
 SHARE = 1.5
@@ -144,13 +145,18 @@ def taken(docs: DataFrame, state: DataFrame) -> DataFrame:
     """``keyed`` documents with ``_source_size``, ``_target`` and ``_taken``."""
     out = _with_sources(docs, state)
     base = F.col("epochs") * F.col("_size")
-    order = ["_key", F.col("doc_id").asc_nulls_first(), "_size"]
-    before = (Window.partitionBy("source").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    inside = F.coalesce((F.col("budget") > 0) & (F.col("_at") >= F.col("low")) & (F.col("_at") < F.col("high")), F.lit(False))
-    start = F.col("below") + F.coalesce(F.sum("_size").over(before), F.lit(0))
+    # the last place is that of keys so large that it rounds to 1
+    inside = F.coalesce((F.col("budget") > 0) & (F.col("_at") >= F.col("low"))
+                        & ((F.col("_at") < F.col("high")) | (F.col("high") == 1)), F.lit(False))
+    # in order of source and key, with the words before; documents of one key,
+    # as rows without id are, may be many, so a range exchange sorts them
+    order = [F.col("source").asc_nulls_first(), "_key", F.col("doc_id").asc_nulls_first(), "_size"]
+    near = with_position(out.where(inside), *order, name="_place", running=("_size", "_before"))
+    starts = near.groupBy(F.col("source").alias("_of")).agg(F.min("_before").alias("_start"))
+    near = near.join(small(land(starts, "starts")), F.col("source").eqNullSafe(F.col("_of")))
+    start = F.col("below") + F.col("_before") - F.col("_start")
     some = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("budget") - start))
-    near = out.where(inside).withColumn("_taken", base + some)
+    near = near.withColumn("_taken", base + some).drop("_place", "_before", "_of", "_start")
     far = out.where(~inside).withColumn(
         "_taken", base + F.when((F.col("budget") > 0) & (F.col("_at") < F.col("low")), F.col("_size")).otherwise(0))
     return (near.unionByName(far).withColumnRenamed("source_size", "_source_size")

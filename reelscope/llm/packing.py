@@ -5,9 +5,9 @@
 2. Count the pieces of each length: at most ``cap`` numbers, whatever the
    input. All decisions are made on these counts (``plan``): pieces of one
    length are interchangeable.
-3. Number the pieces of each length (a window per length and hash part, plus
-   the parts' running counts, so a length that holds a third of all rows is
-   spread) and look the number up in the plan, a table bounded by ``cap``.
+3. Number the pieces of each length (a range exchange over all pieces, which
+   splits a length that holds a third of them) and look the number up in the
+   plan, a table bounded by ``cap``.
 """
 
 from __future__ import annotations
@@ -22,17 +22,16 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reelscope.llm.common import hold, importable, land, pick
+from reelscope.operators.ordering import with_position
 
 CAP = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 0
-# Parts over which the pieces of one length are numbered.
-PARTS = 64
 # Words whose ids a Python worker remembers, first come first kept; the rest
 # are encoded each time. About 200 bytes a word.
 REMEMBERED = 300_000
@@ -189,7 +188,11 @@ def _pair(counts: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
 
 def _complement(counts: np.ndarray, length: int, cap: int, index: dict) -> tuple[int, ...] | None:
     """One, two or three available lengths that exactly fill what ``length``
-    leaves; ``index`` remembers the pair found for a sum."""
+    leaves. ``counts`` is the index of single lengths by their sum; ``index``
+    holds, for a sum of two, the pair that was last available, looked up first
+    and replaced by the next one when its counts are used up; a sum of three
+    is a single and a pair. Every combination that the counts allow is found,
+    as in an index of all sums, without holding the combinations."""
     gap = cap - length
     if gap <= length and counts[gap] > 0:
         return (gap,)
@@ -285,18 +288,13 @@ def pack(docs: DataFrame, cap: int = CAP, vocabulary: str = VOCABULARY) -> DataF
     occurs. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS))
-    cut = land(pieces(docs, cap, vocabulary).withColumn("part", part), "pieces")
-    # at most cap * PARTS rows, from which the running counts follow
-    held = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    held = land(held, "length_counts")
-    counts = {r["length"]: r["n"] for r in held.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = held.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32"))
-    numbered = (cut.withColumn("rank", rank)
-                .join(F.broadcast(first), ["length", "part"])
-                .withColumn("number", F.col("rank") - 1 + F.col("first")))
+    cut = land(pieces(docs, cap, vocabulary), "pieces")
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # cap rows at most
+    # a range exchange numbers all pieces by length; a length that many have is split
+    placed = with_position(cut, "length", name="number")
+    first = placed.groupBy("length").agg(F.min("number").alias("first"))
+    numbered = (placed.join(F.broadcast(first), "length")
+                .withColumn("number", F.col("number") - F.col("first")))
     places = _places(spark, plan(counts, cap))
     return (numbered.join(F.broadcast(places.withColumnRenamed("length", "of")),
                           (F.col("length") == F.col("of")) & F.col("number").between(F.col("low"), F.col("high")))

@@ -18,10 +18,11 @@ from bisect import bisect_left
 from dataclasses import dataclass, replace
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelscope.llm.common import land, pick
+from reelscope.operators.ordering import with_position
 
 SHARDS = 16
 # Probes between two known boundaries are 1 << BITS, each round.
@@ -30,8 +31,6 @@ BITS = 10
 # default, and where nearer would mean splitting a group of equal texts.
 TOLERANCE = 0.005
 GROUP_TOLERANCE = 0.05
-# Parts of a shard within which slots are numbered: by text, by document.
-TEXT_BITS, DOC_BITS = 8, 4
 
 
 @dataclass(frozen=True)
@@ -146,17 +145,11 @@ def histogram_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     for text, doc in splitters(rows, shards):
         shard = shard + ((F.col("h_text") > text)
                          | ((F.col("h_text") == text) & (F.col("h_doc") >= doc))).cast("int")
-    rows = (rows.withColumn("shard", shard)
-            .withColumn("p_text", F.shiftright("h_text", 64 - TEXT_BITS))
-            .withColumn("p_doc", F.shiftright("h_doc", 64 - DOC_BITS)))
-    part = ["shard", "p_text", "p_doc"]
-    # at most (2**TEXT_BITS + shards) * 2**DOC_BITS rows
-    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("n"))
-    before = (Window.partitionBy("shard").orderBy("p_text", "p_doc")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    first = counts.select(*part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    rank = F.row_number().over(Window.partitionBy(*part).orderBy("h_text", "h_doc", "doc_id"))
-    return (rows.withColumn("rank", rank).join(F.broadcast(first), part)
+    # one exchange, in key order; equal keys are split over its tasks
+    placed = with_position(rows.withColumn("shard", shard), "shard", "h_text", "h_doc",
+                           F.col("doc_id").asc_nulls_first(), name="place")
+    first = placed.groupBy("shard").agg(F.min("place").alias("first"))  # a row per shard
+    return (placed.join(F.broadcast(first), "shard")
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("first") + F.col("rank") - 1).alias("slot"),
+                    (F.col("place") - F.col("first")).alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard")))
