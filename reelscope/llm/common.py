@@ -126,6 +126,9 @@ def _arrow(kind: str) -> pa.DataType:
 
 # Rows up to which a counted table is broadcast; beyond, joins shuffle.
 BROADCAST_ROWS = 20_000
+# The same for rows of a key alone, where the other side is whole texts: about
+# 20 MB at most.
+BROADCAST_KEYS = 200_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reelscope.llm import fuse_filter
-from reelscope.llm.common import SPACES, carry, importable, land, pick, small
+from reelscope.llm.common import BROADCAST_KEYS, SPACES, carry, importable, land, pick, small
 
 # Distinct digests per bucket: what one filter covers and one task probes.
 BUCKET_KEYS = 1 << 15
@@ -167,16 +167,21 @@ def _answer(rows: DataFrame, sha: Column) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
+    """``docs`` with one row of each group of equal texts, all columns kept:
+    the longest original text, then the smallest doc_id (null is smaller than
+    any), then any of rows repeated in full. Null, empty and blank texts are
+    one group. An empty table gives an empty one."""
     rows, back = carry(docs, doc_id="bigint", text="string")
     text = F.coalesce("text", F.lit(""))
     rows = rows.withColumn("points", F.length(text)).withColumn("sha", F.sha2(F.translate(text, SPACES, ""), 256))
     answer = land(exact_dedup(docs), "exact_dedup")
-    named = answer.select(F.col("doc_id").alias("k"), F.col("text_sha256").alias("s"), "kept")
+    # what goes is short beside what stays, and broadcast if it is counted to be
+    by_key = land(answer.groupBy(F.col("doc_id").alias("k"), F.col("text_sha256").alias("s"))
+                  .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "keys")
     same = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("sha") == F.col("s"))
-    stay = rows.join(named.where("kept").select("k", "s"), same, "left_semi")
+    stay = rows.join(small(by_key.where("not stays").select("k", "s"), BROADCAST_KEYS), same, "left_anti")
     # rows that share id and normalised text with the one that stays
-    again = land(named.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated_rows")
+    again = by_key.where("stays and n > 1").select("k", "s")
     if again.isEmpty():
         return back(stay)
     place = F.row_number().over(Window.partitionBy("doc_id", "sha").orderBy(F.desc("points"), "text"))

@@ -210,9 +210,12 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
 
 def accepted(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without those in no language: ``und``, or a best language with
-    less than ``min_score`` of the posterior. A missing ``lang`` is filled in."""
+    less than ``min_score`` of the posterior. A missing ``lang`` is filled in.
+    Null texts and texts without a letter go; repeated rows are judged alike;
+    an empty table, or one that teaches nothing, gives an empty one."""
     predict = predictor(docs)
     rows, back = carry(docs, text="string", lang="string")
-    told = rows.withColumn("p", predict("text"))
+    # a filter on the answer must not be pushed below it: that would ask twice
+    told = rows.withColumn("p", predict.asNondeterministic()("text"))
     told = told.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= min_score))
     return back(told, lang=F.coalesce("lang", "p.lang_pred"))

@@ -182,7 +182,9 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken whole, and the
     boundary documents once more, cut to the words that are left (joined by
-    one space, n_chars counted anew). Columns as in ``docs``."""
+    one space, n_chars counted anew). Columns as in ``docs``. Texts without a
+    word are not taken; rows repeated in full are documents of their own; an
+    empty table gives an empty one."""
     rows, back = carry(docs, doc_id="bigint", text="string", source="string")
     full = keyed(rows.withColumn("_size", words(F.col("text"))), quality_weights(labels))
     state = plan(land(full.select("source", "_size", "_at"), "sizes"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelscope.llm.common import carry, land, map_rows, pick
+from reelscope.llm.common import BROADCAST_KEYS, carry, land, map_rows, pick, small
 from reelscope.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -148,17 +148,17 @@ def one_per_group(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = M
     count once."""
     rows, back = carry(docs, doc_id="bigint", text="string")
     marked, labels = _labelled(rows.select("doc_id", "text"), words, distance, HOT)
-    stays = (marked.join(labels, "fp").where("doc_id = component_id").groupBy(F.col("doc_id").alias("k"))
-             .agg(F.count(F.lit(1)).alias("n")))
+    ids = land(marked.join(labels, "fp").where("doc_id is not null").groupBy(F.col("doc_id").alias("k"))
+               .agg(F.count_if(F.col("doc_id") == F.col("component_id")).alias("n")), "ids")
     # the key must not change between the reads, so it is landed
     nameless = land(rows.where("doc_id is null").withColumn("key", F.monotonically_increasing_id()), "nameless")
     first = (fingerprints(nameless.select(F.col("key").alias("doc_id"), "text"), words)
              .groupBy("fp").agg(F.min("doc_id").alias("key"))
              .join(labels.where("component_id is null"), "fp").groupBy("root").agg(F.min("key").alias("key")))
-    stays = land(stays, "representatives")
     here = F.col("doc_id") == F.col("k")
-    once = rows.join(stays.where("n = 1"), here, "left_semi")
+    # what goes, and what is there more than once, is short beside the rest
+    once = rows.where("doc_id is not null").join(small(ids.where("n <> 1").select("k"), BROADCAST_KEYS), here, "left_anti")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    more = (rows.join(stays.where("n > 1"), here, "left_semi").withColumn("place", place)
+    more = (rows.join(small(ids.where("n > 1").select("k"), BROADCAST_KEYS), here, "left_semi").withColumn("place", place)
             .where("place = 1").drop("place"))
     return back(once.unionByName(more).unionByName(nameless.join(first, "key", "left_semi").drop("key")))
