@@ -52,7 +52,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("table")
     s.add_argument("table_dir")
     s.add_argument("run_id")
-    s.add_argument("--append", action="store_true", help="reference behaviour: rerun duplicates")
+    how = s.add_mutually_exclusive_group()
+    how.add_argument("--append", action="store_true", help="reference behaviour: rerun duplicates")
+    how.add_argument("--upsert", action="store_true", help="store new and changed shows; publish in one step")
 
     a = sub.add_parser("all")
     a.add_argument("raw_csv")
@@ -79,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
                      channels=args.channels, fmt=args.format)
     elif args.job == "shows":
         run_shows(spark, args.clean_dir, args.submissions_dir, args.table, args.table_dir,
-                  args.run_id, mode="append" if args.append else "replace")
+                  args.run_id, mode="append" if args.append else "upsert" if args.upsert else "replace")
     else:
         w = args.work_dir.rstrip("/")
         run_all(spark, RunConfig(

@@ -81,6 +81,16 @@ def landed_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def show_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The threads, a tenth of which (by customer) name a show in their text."""
+    named = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 10 == 0).select(
+        _s("o_orderkey").alias("submission_id"), (F.col("o_orderkey") % 200 + 1).alias("p_partkey"))
+    named = named.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    threads = landed_submissions(spark, sf_dir).join(named, "submission_id", "left")
+    text = F.coalesce(F.concat(F.lit("About "), "p_name", F.lit("!")), F.col("description"))
+    return threads.withColumn("description", text).drop("p_partkey", "p_name")
+
+
 def show_title_of_part() -> "F.Column":
     """The title under which comments name a show; those on every 61st part
     use an old title that the catalog does not have."""

@@ -450,3 +450,29 @@ SELECT show_id, title, row_number() OVER (ORDER BY title DESC NULLS LAST, show_i
 ORACLE["merged_sketches"] = with_(CATALOG_CLEAN) + "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, count(*) - count("{c}") AS n_nulls,
        count(DISTINCT CAST("{c}" AS VARCHAR)) AS exact, true AS is_close FROM catalog_clean""" for c, t in _PROFILE_COLS)
+
+ORACLE["whole_run"] = with_(GENERATED, SUBMISSIONS[1:], COMMENTS) + rf"""
+, st AS (
+  SELECT s.submission_id, s.author, trim(regexp_replace(lower(concat_ws(' ', s.title,
+    CASE WHEN o_custkey % 10 = 0 THEN coalesce('About ' || p_name || '!', s.description) ELSE s.description END)),
+    '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS nt
+  FROM landed_submissions s JOIN orders ON s.submission_id = CAST(o_orderkey AS VARCHAR)
+  LEFT JOIN part ON p_partkey = o_orderkey % 200 + 1),
+k AS (
+  SELECT DISTINCT title, director,
+    trim(regexp_replace(lower(split_part(title, ':', 1)), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS phrase FROM catalog_clean),
+hits AS (
+  SELECT k.title, k.director, st.submission_id, st.author
+  FROM k JOIN st ON phrase <> '' AND contains(' ' || nt || ' ', ' ' || phrase || ' ')),
+said AS (
+  SELECT h.title, h.director, c.body, h.author, c.created_utc, c.score
+  FROM hits h JOIN landed_comments c ON c.submission_id = h.submission_id
+  UNION ALL SELECT show_title, show_director, body, 'default_author', created_utc, score FROM gen),
+s AS (
+  SELECT title, director, count(*) AS n_comments,
+    {DIGEST("concat_ws('|', body, author, CAST(created_utc AS VARCHAR), CAST(score AS VARCHAR))")} AS comments_digest
+  FROM said GROUP BY title, director)
+SELECT k.show_id, k.title, k.director, k.type, CAST(k.date_added AS VARCHAR) AS added_date, k.release_year,
+  CAST(len(string_split(k."cast", ',')) AS BIGINT) AS n_actors,
+  array_to_string(string_split(k."cast", ','), '|') AS actor_names, s.n_comments, s.comments_digest
+FROM catalog_clean k JOIN s USING (title, director) WHERE k."cast" IS NOT NULL"""

@@ -484,6 +484,26 @@ def collected_threads(spark, sf_dir):
     return _submission_summary(subs).drop("author")
 
 
+@query
+def whole_run(spark, sf_dir):
+    """All jobs from the raw CSV on: clean, collect and generate
+    comments (both, by union), assemble, store, check; summarised per show."""
+    import uuid
+    from reelscope.plans.jobs import RunConfig, run_all
+    from reelscope.session import scratch_path
+    from reelscope.sources.writers import write_catalog_csv
+    base, name = scratch_path(spark, "whole-run"), f"shows_run_{uuid.uuid4().hex[:8]}"
+    write_catalog_csv(fx.catalog_raw(spark, sf_dir), f"{base}/raw")
+    fx.show_threads(spark, sf_dir).write.json(f"{base}/threads")
+    fx.landed_comments(spark, sf_dir).write.json(f"{base}/comments")
+    shows = run_all(spark, RunConfig(
+        csv=f"{base}/raw", catalog_path=f"{base}/catalog", submissions_path=f"{base}/submissions",
+        shows_table=name, shows_path=scratch_path(spark, name), run_id="r1", comments_mode="both",
+        discussions=(f"{base}/threads", f"{base}/comments"), channels="src0 src1 src2",
+        checks=[("no_null_titles", "SELECT count(*) FROM shows WHERE title IS NULL", 0)]))
+    return shows_ops.shows_flat(shows)
+
+
 # ------------------------------------------------------- checks, profile
 
 @query

@@ -283,6 +283,35 @@ def test_checks_semantics(spark, raw):
         enforce(res)
 
 
+def test_measures_of_a_relation_are_one_query(spark, raw, monkeypatch):
+    from reelscope.operators.quality import Measure
+    clean_catalog(raw).createOrReplaceTempView("cat_m")
+    asked = []
+    real = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: asked.append(q) or real(self, q, *a, **k))
+    res = run_checks(spark, [
+        ("no_null", Measure("cat_m", "count_if(title IS NULL)"), 0),
+        ("none", Measure("cat_m", "max(show_id) FILTER (WHERE show_id < 0)"), None),
+        ("plain", "SELECT 1", 1),
+        ("wrong", Measure("cat_m", "count(*)"), -1),
+        ("other", Measure("(SELECT 5 AS v) t", "max(v)"), 5),
+    ])
+    got = res.collect()
+    assert [(r.check, r.passed) for r in got] == [("no_null", True), ("none", True), ("plain", True), ("wrong", False), ("other", True)]
+    assert len(asked) == 3 and sum("cat_m" in q for q in asked) == 1
+    assert got[0].sql == "SELECT count_if(title IS NULL) FROM cat_m"
+
+
+def test_merged_sketches_estimate_all_partitions(spark):
+    from reelscope.operators.quality import column_sketches, merged_profile
+    df = spark.range(6000).selectExpr("id", "id % 50 AS few", "if(id % 3 = 0, null, cast(id % 2000 AS string)) AS s", "null AS none")
+    parts = [column_sketches(df.where(f"id % 3 = {k}")) for k in range(3)]
+    p = {r.column_name: r for r in merged_profile(parts[0].unionByName(parts[1]).unionByName(parts[2])).collect()}
+    assert (p["s"].n_rows, p["s"].n_nulls, p["none"].n_nulls, p["none"].n_distinct) == (6000, 2000, 6000, 0)
+    for name, exact in (("id", 6000), ("few", 50), ("s", 2000)):
+        assert abs(p[name].n_distinct - exact) <= 0.05 * exact
+
+
 def test_schema_profile_exact_and_approx(raw):
     p = {r.column_name: r for r in schema_profile(raw, exact=True).collect()}
     assert p["title"].n_nulls == 1 and p["title"].n_distinct == 5 and p["title"].n_rows == 8
