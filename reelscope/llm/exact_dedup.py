@@ -100,10 +100,13 @@ def screen(new: DataFrame, filters: DataFrame) -> DataFrame:
 
 
 def _false_digests(texts: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Digests that cover more than one text, found by comparing the texts."""
+    """Digests that cover more than one text, found by comparing the texts of
+    groups of two or more; only those move, where their keys are counted to be
+    few enough to send to the texts."""
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
     salted = (rows.join(small(groups.where("n > 1").select("digest")), "digest")
               .select("digest", salt.alias("salt")).distinct())
+    salted = small(land(salted, "repeated_digests"), BROADCAST_KEYS)
     parts = (texts.withColumn("salt", salt).join(salted, ["digest", "salt"], "left_semi")
              .groupBy("digest", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")))
     return (parts.groupBy("digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
