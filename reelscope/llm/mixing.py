@@ -186,9 +186,9 @@ def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     word are not taken; rows repeated in full are documents of their own; an
     empty table gives an empty one."""
     rows, back = carry(docs, doc_id="bigint", text="string", source="string")
-    full = keyed(rows.withColumn("_size", words(F.col("text"))), quality_weights(labels))
-    state = plan(land(full.select("source", "_size", "_at"), "sizes"))
-    out = taken(full, state).where("_taken > 0")
+    # landed, so that texts meet their weights once and words are counted once
+    full = land(keyed(rows.withColumn("_size", words(F.col("text"))), quality_weights(labels)), "keyed")
+    out = taken(full, plan(full)).where("_taken > 0")
     out = out.withColumn("_times", F.floor(F.col("_taken") / F.col("_size")).cast("int"))
     out = out.withColumn("_left", (F.col("_taken") - F.col("_times") * F.col("_size")).cast("int"))
     whole = out.where("_times > 0").withColumn(
