@@ -483,6 +483,21 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert have == +want
 
 
+def test_a_third_of_the_rows_without_id_share_one_key(spark):
+    rows = [(None if i % 3 == 0 else i, "w " * (1 + i % 7), "en", "hot" if i % 4 else "cold") for i in range(900)]
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    got = mix(documents(spark, rows), labels).collect()
+    assert len(got) == 900
+    for source in ("hot", "cold"):
+        own = [r for r in [g for g in got] if r["source_size"] == sum(1 + i % 7 for i in range(900) if bool(i % 4) == (source == "hot"))]
+        assert sum(r["taken"] for r in own) == math.floor(own[0]["target"] + 0.5) and all(0 <= r["taken"] <= 2 * r["size"] for r in own)
+    # in shards and sequences they take places of their own
+    check_shards(histogram_shards(documents(spark, rows)).collect(), rows, 16)
+    packed = pack(documents(spark, rows)).collect()
+    check_sequences(packed, 2048)
+    assert len(packed) == 900 and len({(r["sequence_id"], r["offset"]) for r in packed}) == 900
+
+
 def test_better_documents_come_first(spark):
     docs = documents(spark, [(i, "w " * 10, "en", "abcdef"[i % 6]) for i in range(1200)])
     got = mix(docs, labels_table(spark, [(i, int(i >= 600), 0) for i in range(1200)])).collect()
