@@ -113,35 +113,68 @@ def nest_comments(submissions: DataFrame, comments: DataFrame,
     holds one row per submission; if it has the show keys too (one row per
     (show, thread), as a search produces) they are part of the match,
     otherwise they come from the comments. Output: SUBMISSION schema; a
-    submission without comments keeps one row with an empty array.
+    submission without comments keeps one row with an empty array. A thread
+    with more than ``max_per_row`` comments is dealt to several tasks.
     """
     keys = ["submission_id", "show_title", "show_director"]
-    nested = bounded_collect(comments, keys, comment_struct(), F.col("comment_id"),
-                             "comments", max_per_row)
     tagged = "show_title" in submissions.columns
     match = keys if tagged else keys[:1]
-    own = [f.name for f in SUBMISSION_FIELDS.fields if tagged or f.name not in keys[1:]]
-    subs = submissions.select(*own)
-    n = nested.select(*[F.col(k).alias(f"__{k}") for k in keys], "comments", "part", "n_parts")
-    # An inner join, both sides of which AQE may split: the parts of a hot
-    # thread stay apart. Submissions without comments come from their keys.
-    joined = subs.join(n, _same(subs, n, match), "inner")
-    if not tagged:
-        joined = joined.select("*", *[F.col(f"__{k}").alias(k) for k in keys[1:]])
-    seen = comments.groupBy(*match).agg(F.lit(True).alias("__seen"))
-    seen = seen.select(*[F.col(k).alias(f"__{k}") for k in match])
-    bare = subs.join(seen, _same(subs, seen, match), "left_anti")
-    if not tagged:
-        bare = bare.select("*", *[F.lit(None).cast("string").alias(k) for k in keys[1:]])
-    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SUBMISSION_FIELDS.fields]
+    rest = [k for k in keys if k not in match]
+    own = [f.name for f in SUBMISSION_FIELDS.fields if f.name not in rest]
+    # Both sides are dealt by the match (a struct: null equals null) before
+    # anything is gathered, so comments move once, for the gather and the join.
+    rows = comments.select(*keys, comment_struct().alias("__v"), F.col("comment_id").alias("__id"))
+    subs = submissions.select(F.struct(*match).alias("__of"), *own)
+    hot, n_hot = (None, 0) if max_per_row is None else _hot_keys(rows, match, max_per_row, MAX_BROADCAST_ROWS)
+    at = F.struct(*match).alias("__at")
+    if n_hot == 0:
+        rows, subs = rows.select(at, *rest, "__v"), subs.withColumn("__piece", F.lit(0))
+        dealt, by = rows.repartition("__at"), ["__at", *rest]
+        on = F.col("__of") == F.col("__at")
+        counted = [F.lit(0).alias("part"), F.lit(1).alias("n_parts")]
+    else:
+        # A hot match is dealt to several tasks, and its submission to each.
+        rows = _parts(rows, keys, match, hot, max_per_row)
+        dealt, by = rows.select(at, *rest, "__v", "__salt", "part", "n_parts").repartition("__at", "__salt"), \
+            ["__at", "__salt", *rest, "part", "n_parts"]
+        subs = _left(subs, hot, match).withColumn("__piece", F.explode(
+            F.sequence(F.lit(0), _pieces(max_per_row) - 1)))
+        on = (F.col("__of") == F.col("__at")) & (F.col("__piece") == F.col("__salt"))
+        counted = [F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("n_parts", F.lit(1)).alias("n_parts")]
+    nested = dealt.groupBy(*by).agg(F.sort_array(F.collect_list("__v")).alias("comments"))
+    joined = subs.join(nested, on, "left")
+    if n_hot:  # what a hot match's further tasks may lack is no submission
+        joined = joined.where(F.col("comments").isNotNull() | F.col("__n").isNull())
     none = F.array().cast(f"array<{COMMENT.simpleString()}>")
-    return joined.select(*fields, "comments", "part", "n_parts").unionByName(
-        bare.select(*fields, none.alias("comments"), F.lit(0).alias("part"), F.lit(1).alias("n_parts")))
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equal keys (null equals null); the right side's carry two underscores."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
+    fields = [F.col(f.name).cast(f.dataType) for f in SUBMISSION_FIELDS.fields]
+    return joined.select(*fields, F.coalesce("comments", none).alias("comments"), *counted)
+
+
+def _pieces(max_per_row: int) -> Column:
+    """Tasks, or rows, for a key with ``__n`` elements (null: few)."""
+    return F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("__n"), F.lit(0)) / F.lit(max_per_row))).cast("int")
+
+
+def _left(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``__n`` of its key in ``hot``, null where that has none."""
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return df.join(hot, cond, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def _parts(rows: DataFrame, keys: list[str], match: list[str], hot: DataFrame, max_per_row: int) -> DataFrame:
+    """``rows`` with their ``part`` of ``n_parts`` among the rows of ``keys``,
+    and the task (``__salt``) among those of a hot ``match``."""
+    rows = _left(rows, hot, match).withColumn("__tasks", _pieces(max_per_row))
+    if len(match) < len(keys):
+        some, n = _hot_keys(rows.where(F.col("__n").isNotNull()), keys, max_per_row, MAX_BROADCAST_ROWS)
+        rows = rows.drop("__n")
+        rows = _left(rows, some, keys) if n else rows.withColumn("__n", F.lit(None).cast("bigint"))
+    n_parts = _pieces(max_per_row)
+    rows = rows.withColumns({"n_parts": n_parts, "part": F.pmod(F.xxhash64("__id"), n_parts).cast("int")})
+    if len(match) == len(keys):
+        return rows.withColumn("__salt", F.col("part"))
+    others = [k for k in keys if k not in match]
+    return rows.withColumn("__salt", F.pmod(F.xxhash64(*others, "part"), F.col("__tasks")).cast("int"))
 
 
 def flatten_comments(submissions: DataFrame,
