@@ -107,3 +107,48 @@ def test_window_stream_exact_and_rerun_safe(spark, tmpdir_path):
     assert first.exceptAll(batch).count() == 0
     run_window_stream(spark, SF_SMALL, cat, sink, ck, glob="events*.parquet")  # restart: nothing new
     assert read_window_sink(spark, sink).exceptAll(batch).count() == 0
+
+
+def test_comments_are_dealt_once_to_be_nested(spark, tmpdir_path):
+    """One exchange per side, threads named by null included, hot or not; and
+    nothing moves again to be written."""
+    from reelscope.operators.nesting import nest_comments
+    from reelscope.sources.writers import write_partitioned
+    com = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("t"), (F.col("id") % 50).cast("string")))
+        .alias("submission_id"), F.concat(F.lit("S"), (F.col("id") % 4).cast("string")).alias("show_title"),
+        F.lit("D").alias("show_director"), F.col("id").cast("string").alias("comment_id"), F.lit("b").alias("body"),
+        F.lit(dt.datetime(2020, 1, 1)).alias("created_utc"), F.lit(1).alias("score"), F.lit("p").alias("parent_id"))
+    subs = com.select("submission_id").distinct().union(spark.createDataFrame([("quiet",)], "submission_id string"))
+    for c in ("source", "title", "description", "author", "distinguished", "link"):
+        subs = subs.withColumn(c, F.lit("x"))
+    subs = subs.withColumns({"created_utc": F.lit(dt.datetime(2020, 1, 1)), "score": F.lit(1),
+                             "spoiler": F.lit(False), "is_original_content": F.lit(False)})
+    subs = spark.createDataFrame(subs.collect(), subs.schema)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for size in (100, 100000):
+            nested = nest_comments(subs, com, max_per_row=size)
+            plan = nested._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2, plan
+            rows = nested.collect()
+            assert sorted(c.comment_id for r in rows for c in r.comments) == sorted(str(i) for i in range(3000))
+            assert {r.submission_id for r in rows if not r.comments} == {"quiet"}
+            assert max(len(r.comments) for r in rows) < (200 if size == 100 else 300)
+        write_partitioned(nested, f"{tmpdir_path}/n", ["show_title"], buckets=4, rebalance=False)
+        assert spark.read.parquet(f"{tmpdir_path}/n").count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_discussions_are_packed(spark):
+    import glob
+    from reelscope import session
+    from reelscope.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+    QUERIES["discussions_roundtrip"](spark, SF_SMALL)
+    base = [p for p in session._scratch if "/discussions-" in p][-1].split("file:")[-1]
+    for kind in ("subs", "comments"):
+        files = glob.glob(f"{base}/{kind}/part-*")
+        assert files and all(f.endswith(".json.gz") for f in files)
