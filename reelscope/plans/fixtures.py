@@ -163,8 +163,9 @@ def comments_flat(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFr
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-         .join(c, F.col("o_custkey") == c["c_custkey"], "left")
+    # orders meet their customers first: there are fewer of them than lines
+    oc = o.join(c, F.col("o_custkey") == c["c_custkey"], "left")
+    j = (li.join(oc, li["l_orderkey"] == oc["o_orderkey"], "inner")
          .join(p, li["l_showpart"] == p["p_partkey"], "inner"))
     return j.select(
         show_title_of_part().alias("show_title"),
