@@ -152,3 +152,29 @@ def test_discussions_are_packed(spark):
     for kind in ("subs", "comments"):
         files = glob.glob(f"{base}/{kind}/part-*")
         assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_generated_comments_move_as_arrays(spark, tmpdir_path):
+    """Built in their row, assembled as arrays, the same as comment by comment;
+    repeated catalog rows double their comments, hot shows are spread."""
+    import glob
+    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.nesting import flatten_comments
+    from reelscope.operators.shows import assemble_nested
+    from reelscope.plans.jobs import run_comments
+    cat = spark.createDataFrame([(i, "Movie", f"T{i % 4}", "D", "a, b", None, None, 2000, "1 min", None) for i in (1, 1, 2, 3, 7)],
+                                "show_id bigint, type string, title string, director string, cast string, country string, "
+                                "date_added date, release_year int, duration string, description string")
+    subs = generate_comments(cat, n=30)
+    plan = subs._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Generate") <= 1
+    assert sorted((r.show_title, len(r.comments)) for r in subs.collect()) == sorted(
+        2 * [("T1", 60), ("T2", 30), ("T3", 30), ("T3", 30)])
+    for size in (50000, 25):
+        flat, arrays = assemble_shows(cat, flatten_comments(subs), max_per_row=size), assemble_nested(cat, subs, size)
+        assert flat.schema == arrays.schema and flat.count() == arrays.count()
+        assert flat.exceptAll(arrays).count() == arrays.exceptAll(flat).count() == 0
+        assert (arrays.agg(F.max("n_parts")).first()[0] > 1) == (size == 25)
+    cat.write.parquet(f"{tmpdir_path}/cat")
+    run_comments(spark, "generated", f"{tmpdir_path}/cat", f"{tmpdir_path}/subs")
+    assert glob.glob(f"{tmpdir_path}/subs/key_bucket=*/*.zstd.parquet")
