@@ -102,3 +102,15 @@ def test_distinctive_word_is_null_without_words_and_taken_into_shows(spark):
     # a table from elsewhere: a word it lacks counts as in one document
     other = spark.createDataFrame([("zebra", 500), ("movie", 2)], "word string, n_docs bigint")
     assert {r["comment_id"]: r["description_word"] for r in distinctive_words(words, other, 1000).collect()}["1"] == "good"
+
+
+def test_words_are_counted_in_their_row(spark):
+    """No word moves; comments that share a key, also null, are added up."""
+    rows = [("1", "Bad bad, good x 12 bäd"), ("2", None), ("3", "..."), ("4", "one")]
+    comments = spark.createDataFrame(rows, "comment_id string, body string")
+    words = comment_words(comments)
+    assert "Exchange" not in words._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, words.collect())) == [("1", "bad", 2), ("1", "bäd", 1), ("1", "good", 1), ("4", "one", 1)]
+    again = spark.createDataFrame(rows + [("1", "good"), (None, "one"), (None, "one two")], comments.schema)
+    assert sorted(map(tuple, comment_words(again).collect()), key=str) == sorted(
+        [("1", "bad", 2), ("1", "bäd", 1), ("1", "good", 2), ("4", "one", 1), (None, "one", 2), (None, "two", 1)], key=str)
