@@ -15,7 +15,8 @@ from reelscope.operators.sizing import materialize
 
 
 def with_position(df: DataFrame, *order: Column | str, name: str = "position",
-                  running: tuple[str, str] | None = None, partitions: int | None = None) -> DataFrame:
+                  running: tuple[str, str] | None = None, partitions: int | None = None,
+                  landed: bool = False) -> DataFrame:
     """``df`` with every row's place, from 1, in the total order of ``order``;
     rows that ``order`` does not tell apart take places in no particular order.
     ``running`` = (column, name) adds the sum of a whole-number column over all
@@ -24,11 +25,13 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position",
     Both the numbered input and the sorted rows are checkpointed: the places
     must not change when a lost task is run again. Two passes over the rows,
     one shuffle (one more for a running sum); what meets on one task is a row
-    per partition."""
+    per partition. ``landed`` says that ``df`` reads stored rows, which
+    ``order`` tells apart: they are not stored again."""
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()))
-    dealt = rows.repartitionByRange(parts, *order, "__row").sortWithinPartitions(*order, "__row")
+    if not landed:
+        df, order = materialize(df.withColumn("__row", F.monotonically_increasing_id())), (*order, "__row")
+    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     part = F.spark_partition_id()
     placed = materialize(
         dealt.withColumn("__part", part)

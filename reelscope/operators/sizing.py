@@ -17,6 +17,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder as Parquet and read again: cuts the lineage
+    and keeps a column pruned, compressed copy for several readers."""
+    from reelscope.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS):
     """``(side, n_rows)``: ``small`` materialized and counted; marked for
     broadcast only if it has at most ``max_rows`` rows. Beyond the bound

@@ -17,6 +17,7 @@ from reelscope.functions.text import title_key
 from reelscope.operators import explore, shows as shows_ops
 from reelscope.operators.nesting import explode_actors
 from reelscope.operators.quality import Measure
+from reelscope.operators.sizing import land
 from reelscope.plans import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,15 +392,6 @@ def catalog_bucketed(spark, sf_dir):
     return explore.group_count(spark.table(name), ["release_year"], "n_shows")
 
 
-def _landed(df, name):
-    """``df`` written and read again: what several writes take is built once."""
-    from reelscope.session import scratch_path
-    from reelscope.sources.writers import write_parquet
-    path = scratch_path(df.sparkSession, name)
-    write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @query
 def append_then_replace(spark, sf_dir):
     """Run r0 once and run r1 twice, by append (the reference:
@@ -409,8 +401,8 @@ def append_then_replace(spark, sf_dir):
     import uuid
     from reelscope.session import scratch_path
     from reelscope.sources.writers import write_shows
-    built = _landed(shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir),
-                                             fx.comments_flat(spark, sf_dir), max_per_row=2000), "built-shows")
+    built = land(shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir),
+                                          fx.comments_flat(spark, sf_dir), max_per_row=2000), "built-shows")
     counts = {}
     for mode in ("append", "replace"):
         name = f"shows_{mode}_{uuid.uuid4().hex[:8]}"
@@ -432,8 +424,8 @@ def shows_runs(spark, sf_dir):
     run holds."""
     from reelscope.session import scratch_path
     from reelscope.sources.runs import Runs
-    built = _landed(shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir), fx.comments_flat(spark, sf_dir),
-                                             max_per_row=2000), "built-shows")
+    built = land(shows_ops.assemble_shows(fx.catalog_clean(spark, sf_dir), fx.comments_flat(spark, sf_dir),
+                                          max_per_row=2000), "built-shows")
     runs, key = Runs(spark, scratch_path(spark, "shows-runs")), ["show_id"]
     sid = F.col("show_id")
     runs.stage(built, "r0")

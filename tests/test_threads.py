@@ -1,5 +1,6 @@
 """Comment trees and total order against plain Python."""
 
+import datetime as dt
 import random
 from collections import defaultdict
 
@@ -114,3 +115,27 @@ def test_words_are_counted_in_their_row(spark):
     again = spark.createDataFrame(rows + [("1", "good"), (None, "one"), (None, "one two")], comments.schema)
     assert sorted(map(tuple, comment_words(again).collect()), key=str) == sorted(
         [("1", "bad", 2), ("1", "bäd", 1), ("1", "good", 2), ("4", "one", 1), (None, "one", 2), (None, "two", 1)], key=str)
+
+
+def test_comments_at_the_top_take_no_part_in_later_rounds(spark, monkeypatch):
+    """A chain of 40 beside many flat comments: each round takes the open ones
+    only; large threads are numbered like small ones."""
+    from reelscope.operators import threads
+    rows = [("t", f"{i:03d}", None if i == 0 else f"t1_{i - 1:03d}") for i in range(40)]
+    rows += [("t", f"f{i:03d}", "t3_t") for i in range(200)] + [("u", f"{i}", "t1_0" if i else None) for i in range(3)]
+    df = spark.createDataFrame(rows, "submission_id string, comment_id string, parent_id string").withColumn(
+        "created_utc", F.lit(dt.datetime(2020, 1, 1)))
+    sizes, twice = [], threads._twice_as_far
+
+    def seen(state, *rest):
+        sizes.append(state.count())
+        return twice(state, *rest)
+
+    monkeypatch.setattr(threads, "_twice_as_far", seen)
+    small = sorted(map(tuple, comment_tree(df).collect()))
+    assert sizes == [41, 38, 36, 32, 24, 8]
+    place = {(r[0], r[1]): (r[3], r[4], r[5]) for r in small}
+    assert place[("t", "000")] == (0, 1, "tree") and place[("t", "f199")] == (0, 201, "tree")
+    assert all(place[("t", f"{i:03d}")] == (i, 201 + i, "tree") for i in range(1, 40))
+    monkeypatch.setattr(threads, "LARGE", 10)
+    assert sorted(map(tuple, comment_tree(df).collect())) == small
