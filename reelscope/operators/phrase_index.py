@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reelscope.functions.text import normalize_text, tokens, word_tokens
 from reelscope.operators.mentions import channel_list
-from reelscope.operators.sizing import checked_broadcast, materialize
+from reelscope.operators.sizing import MAX_BROADCAST_ROWS, checked_broadcast, materialize
 from reelscope.sources.runs import Runs
 from reelscope.sources.writers import KEY_BUCKETS, key_bucket
 
@@ -68,14 +68,19 @@ class PhraseIndex:
         # the second rarest; of a phrase of one token, that one again
         two = others.where((F.col("p") != F.col("a.p")) | (F.col("length") == 1)) \
             .groupBy("phrase", "length", "a").agg(F.min(F.struct("n", "p", "tok")).alias("b"))
-        two, _ = checked_broadcast(two.select("phrase", "length", F.col("a.p").alias("p1"), F.col("a.tok").alias("tok"),
+        two, n_two = checked_broadcast(two.select("phrase", "length", F.col("a.p").alias("p1"), F.col("a.tok").alias("tok"),
                                               F.col("b.p").alias("p2"), F.col("b.tok").alias("tok2")))
         first = lists.join(two, "tok").select("phrase", "length", "post_id", "source", (F.col("pos") - F.col("p1")).alias("at"),
                                               F.col("tok2").alias("tok"), (F.col("pos") - F.col("p1") + F.col("p2")).alias("pos"))
         seen = lists.select("post_id", "tok", "pos")
-        both = materialize(first.join(seen, ["post_id", "tok", "pos"], "left_semi")
+        # of the lists, only second tokens' can confirm a place
+        second = two.select(F.col("tok2").alias("tok")).distinct()
+        second = F.broadcast(second) if n_two <= MAX_BROADCAST_ROWS else second
+        both = materialize(first.join(seen.join(second, "tok", "left_semi"), ["post_id", "tok", "pos"], "left_semi")
                            .select("phrase", "length", "post_id", "source", "at").distinct())
-        # every token of what is left
+        # every token of what is left, in the posts that are left
+        near, _ = checked_broadcast(both.select("post_id").distinct())
+        seen = seen.join(near, "post_id", "left_semi")
         spread = both.join(places, "phrase").withColumn("pos", F.col("at") + F.col("p"))
         whole = (spread.join(seen, ["post_id", "tok", "pos"], "left_semi")
                  .groupBy("phrase", "length", "post_id", "source", "at").agg(F.count(F.lit(1)).alias("found"))
