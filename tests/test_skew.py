@@ -158,7 +158,7 @@ def test_generated_comments_move_as_arrays(spark, tmpdir_path):
     """Built in their row, assembled as arrays, the same as comment by comment;
     repeated catalog rows double their comments, hot shows are spread."""
     import glob
-    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.generator import generate_comment_rows, generate_comments
     from reelscope.operators.nesting import flatten_comments
     from reelscope.operators.shows import assemble_nested
     from reelscope.plans.jobs import run_comments
@@ -166,6 +166,9 @@ def test_generated_comments_move_as_arrays(spark, tmpdir_path):
                                 "show_id bigint, type string, title string, director string, cast string, country string, "
                                 "date_added date, release_year int, duration string, description string")
     subs = generate_comments(cat, n=30)
+    rows = generate_comment_rows(cat, n=30)
+    assert rows.count() == 300 and rows.columns[:8] == ["show_id", "show_title", "show_director", "source", "skey",
+                                                        "sub_score", "idx", "comment_id"]
     plan = subs._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and plan.count("Generate") <= 1
     assert sorted((r.show_title, len(r.comments)) for r in subs.collect()) == sorted(
