@@ -181,3 +181,119 @@ def test_generated_comments_move_as_arrays(spark, tmpdir_path):
     cat.write.parquet(f"{tmpdir_path}/cat")
     run_comments(spark, "generated", f"{tmpdir_path}/cat", f"{tmpdir_path}/subs")
     assert glob.glob(f"{tmpdir_path}/subs/key_bucket=*/*.zstd.parquet")
+
+
+def test_shows_of_one_key_share_their_search_and_nesting(spark, tmpdir_path, monkeypatch):
+    """Many shows with one title key: what is stored on the way is per key and
+    thread, not per show; the submissions and shows are all there, in one slice
+    or in several, which leave no shuffle files behind."""
+    import os
+    from reelscope.operators.mentions import match_mentions
+    from reelscope.plans import jobs
+    cat = spark.createDataFrame([(i, "Movie", f"Red Door{': Part ' + str(i) if i % 2 else ''}", f"D{i}", "a, b", None, None, 2000,
+                                  "1 min", None) for i in range(40)] + [(99, "Movie", "Blue", None, "a", None, None, 2000, "", None)],
+                                "show_id bigint, type string, title string, director string, cast string, country string, "
+                                "date_added date, release_year int, duration string, description string")
+    text = {0: "the red door", 1: "RED DOOR, blue", 2: "red", 3: "no"}
+    subs = spark.createDataFrame([(f"s{i}", "c", "x", text[i % 4], dt.datetime(2020, 1, 1), f"u{i}", 1, False, False, None, "/l")
+                                  for i in range(60)], "submission_id string, source string, title string, description string, "
+                                 "created_utc timestamp, author string, score int, spoiler boolean, is_original_content boolean, "
+                                 "distinguished string, link string")
+    com = spark.createDataFrame([(f"s{i % 50}", f"c{i}", f"b{i % 3}", dt.datetime(2020, 1, 2), i % 5, "p") for i in range(300)],
+                                "submission_id string, comment_id string, body string, created_utc timestamp, score int, "
+                                "parent_id string")
+    searched = []
+
+    def match(phrases, posts, *args, **kw):
+        searched.append(phrases.count())
+        return match_mentions(phrases, posts, *args, **kw)
+
+    monkeypatch.setattr(jobs, "match_mentions", match)
+    rows = jobs.collected_submissions(cat, subs, com, "c").collect()
+    assert searched == [2]  # keys, not shows
+    red = [(f"Red Door{': Part ' + str(i) if i % 2 else ''}", f"D{i}", f"s{j}") for i in range(40) for j in range(60) if j % 4 < 2]
+    blue = [("Blue", None, f"s{j}") for j in range(1, 60, 4)]
+    assert sorted((str(r.show_title), str(r.show_director), r.submission_id) for r in rows) == sorted(
+        (str(t), str(d), s) for t, d, s in red + blue)
+    assert all({c.comment_id for c in r.comments} == {f"c{i}" for i in range(300) if f"s{i % 50}" == r.submission_id}
+               for r in rows)
+    cat.write.parquet(f"{tmpdir_path}/cat")
+    subs.write.json(f"{tmpdir_path}/threads")
+    com.withColumns({"show_title": F.lit(None).cast("string"), "show_director": F.lit(None).cast("string")}).write.json(
+        f"{tmpdir_path}/comments")
+    jobs.run_comments(spark, "both", f"{tmpdir_path}/cat", f"{tmpdir_path}/subs",
+                      (f"{tmpdir_path}/threads", f"{tmpdir_path}/comments"), "c")
+    tag, got = os.path.basename(tmpdir_path).replace("-", "_"), []
+    for size in (1 << 23, 2000):
+        monkeypatch.setattr(jobs, "COMMENTS_PER_SLICE", size)
+        shows = jobs.run_shows(spark, f"{tmpdir_path}/cat", f"{tmpdir_path}/subs", f"shows_{tag}_{size}",
+                               f"{tmpdir_path}/shows{size}", "r1")
+        shows = jobs.run_shows(spark, f"{tmpdir_path}/cat", f"{tmpdir_path}/subs", f"shows_{tag}_{size}",
+                               f"{tmpdir_path}/shows{size}", "r1")  # a rerun replaces
+        got.append(shows.select(sorted(shows.columns)))
+        assert sorted(n for n in os.listdir(f"{tmpdir_path}/shows{size}") if "run_id" in n or n[:2] == ".s") == ["run_id=r1"]
+    assert got[0].count() == got[1].count() == 40 and got[0].exceptAll(got[1]).count() == 0
+    said = sum(1 for i in range(300) if i % 50 % 4 < 2)
+    assert got[0].agg(F.sum(F.size("comments"))).first()[0] == 40 * (500 + said)
+
+
+def test_hot_shows_are_split_where_they_are_stored(spark):
+    """Arrays of a hot show are split in their row: no comment moves alone, and
+    the parts are those of comment by comment, dealt by title or not."""
+    from reelscope.operators.nesting import flatten_comments
+    from reelscope.operators.generator import generate_comments
+    from reelscope.operators.shows import assemble_shows, assemble_slices
+    cat = spark.createDataFrame([(i, "Movie", f"T{i % 2}", f"D{i}", "a, b", None, None, 2000, "1 min", None) for i in range(6)],
+                                "show_id bigint, type string, title string, director string, cast string, country string, "
+                                "date_added date, release_year int, duration string, description string")
+    subs = generate_comments(cat, n=40)
+    flat = assemble_shows(cat, flatten_comments(subs), max_per_row=25)
+    for n in (None, 5_000_000):
+        shows = next(assemble_slices(cat, subs, [(F.lit(True), n)], 25))
+        plan = shows._jdf.queryExecution().optimizedPlan().toString()
+        assert "inline" not in plan and "explode(comments" not in plan, plan
+        assert flat.count() == shows.count() > 6
+        assert flat.exceptAll(shows).count() == shows.exceptAll(flat).count() == 0
+
+
+def test_common_phrases_do_not_store_their_candidates(spark, monkeypatch):
+    """Candidates beyond what is broadcast are joined, not written."""
+    from reelscope.operators import mentions
+    phrases = spark.createDataFrame([(i, f"red w{i}") for i in range(6)], "k int, title string")
+    posts = spark.createDataFrame([(i, "c", f"red w{i % 7} of the red") for i in range(70)], "post_id int, source string, text string")
+    stored, real = [], mentions.materialize_df
+
+    def materialize(df):
+        stored.append(set(df.columns))
+        return real(df)
+
+    monkeypatch.setattr(mentions, "materialize_df", materialize)
+    few = sorted(mentions.match_mentions(phrases, posts, ["k"]).collect())
+    assert {"k", "phrase", "__pid"} in stored
+    stored.clear()
+    monkeypatch.setattr(mentions, "MAX_BROADCAST_ROWS", 20)
+    assert sorted(mentions.match_mentions(phrases, posts, ["k"]).collect()) == few and len(few) == 60
+    assert stored and {"k", "phrase", "__pid"} not in stored
+
+
+def test_thinned_keeps_every_key(spark):
+    from reelscope.operators.sizing import thinned
+    df = spark.range(20000).select(F.concat(F.lit("t"), "id").alias("k"), "id")
+    keys = df.where("id % 100 = 0").select("k").union(spark.createDataFrame([(None,)], "k string"))
+    left = thinned(df, keys, "k")
+    assert left.columns == ["k", "id"] and left.where("id % 100 = 0").count() == 200 and left.count() < 260
+    assert thinned(df.union(df), keys, "k").where("id = 0").count() == 2
+
+
+def test_shuffles_are_swept(spark):
+    import glob
+    from reelscope.session import shuffles_swept
+    def files():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    with shuffles_swept(spark):
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.format("noop").mode("overwrite").save()
+        assert not files() - before
+    assert spark.conf.get(key, None) == was
